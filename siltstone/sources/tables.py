@@ -96,6 +96,12 @@ class VersionedTable:
         year_column: str | None = None,
     ) -> int:
         """Make ``df`` the content of the table; returns the rows written."""
+        (
+            # Makes the list on first use; a no-op ever after.
+            self.spark.createDataFrame([], schemas.COMMIT)
+            .write.mode("ignore")
+            .parquet(f"{self.path}/commits")
+        )
         previous = self.latest()
         version = 1 if previous is None else previous["version"] + 1
         folder = f"{self.path}/data/{version:06d}-{uuid.uuid4().hex[:8]}"
