@@ -3,12 +3,14 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.functions.parsing import instant_of
 from siltstone.functions.predicates import within
 from siltstone.session import cut_lineage
 from siltstone import values as V
 
 
 def source_summary(source: DataFrame, updated_at: str = V.UPDATED_AT) -> DataFrame:
+    """Record count and latest update time, in one pass."""
     return source.agg(
         F.count(F.lit(1)).alias("record_count"),
         F.max(updated_at).alias("max_updated_at"),
@@ -19,14 +21,15 @@ def change_window(
     source: DataFrame, watermark, updated_at: str = V.UPDATED_AT
 ) -> DataFrame:
     """Changed records after the watermark and the end of their window."""
-    return source_summary(source.filter(F.col(updated_at) > watermark), updated_at)
+    later = instant_of(source, updated_at) > watermark
+    return source_summary(source.filter(later), updated_at)
 
 
 def window_rows(
     source: DataFrame, watermark, window_end, updated_at: str = V.UPDATED_AT
 ) -> DataFrame:
     """Rows after the watermark up to the fixed end of the window."""
-    return source.filter(within(F.col(updated_at), watermark, window_end))
+    return source.filter(within(instant_of(source, updated_at), watermark, window_end))
 
 
 def number_pages(
@@ -84,7 +87,7 @@ def key_snapshot(
 ) -> DataFrame:
     """Key, row id and update time of every row up to the window end, by key."""
     return (
-        source.filter(F.col(updated_at) <= window_end)
+        source.filter(instant_of(source, updated_at) <= window_end)
         .select(key, row_id, updated_at)
         .orderBy(key)
     )

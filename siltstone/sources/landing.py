@@ -35,7 +35,7 @@ def scan_batch(
     reader = spark.read.option("multiLine", not json_lines)
     path = f"{prefix.rstrip('/')}/{PAGES_GLOB}"
     if schema is not None:
-        wanted = T.StructType(schema.fields)
+        wanted = T.StructType(list(schema.fields))
         for name in extra_columns:
             wanted = wanted.add(name, T.StringType())
         return reader.schema(wanted).json(path)

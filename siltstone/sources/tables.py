@@ -10,10 +10,11 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone import schemas
+from siltstone.session import shared_dir
 
 APPEND = "append"
 OVERWRITE = "overwrite"
@@ -55,6 +56,22 @@ def partition_stats(df: DataFrame, partition_column: str) -> DataFrame:
     )
 
 
+def _type(name: str):
+    return schemas.COMMIT[name].dataType
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    Cuts the lineage, so later steps neither repeat the work nor depend on the
+    executors that did it, and keeps column pruning, unlike a checkpoint.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/siltstone/{purpose}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 class VersionedTable:
     """A Parquet table whose whole content is replaced by each commit."""
 
@@ -96,31 +113,26 @@ class VersionedTable:
         year_column: str | None = None,
     ) -> int:
         """Make ``df`` the content of the table; returns the rows written."""
-        (
-            # Makes the list on first use; a no-op ever after.
-            self.spark.createDataFrame([], schemas.COMMIT)
-            .write.mode("ignore")
-            .parquet(f"{self.path}/commits")
-        )
         previous = self.latest()
         version = 1 if previous is None else previous["version"] + 1
         folder = f"{self.path}/data/{version:06d}-{uuid.uuid4().hex[:8]}"
-        written = Observation()
-        counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
         if year_of is None:
-            counted.write.parquet(folder)
+            df.write.parquet(folder)
         else:
-            write_by_year(counted, folder, year_of, year_column or f"{year_of}_year")
-        rows = written.get["rows"]
-        commit = (
-            version,
-            datetime.now(timezone.utc),
-            APPEND if previous is None else OVERWRITE,
-            folder,
-            rows,
-        )
+            write_by_year(df, folder, year_of, year_column or f"{year_of}_year")
+        # Counted from the files rather than while writing: lost and repeated
+        # tasks cannot distort it, and Parquet answers it from the footers.
+        rows = self.spark.read.parquet(folder).count()
+        commit = {
+            "version": version,
+            "committed_at": datetime.now(timezone.utc),
+            "operation": APPEND if previous is None else OVERWRITE,
+            "path": folder,
+            "record_count": rows,
+        }
         (
-            self.spark.createDataFrame([commit], schemas.COMMIT)
+            self.spark.range(1)
+            .select(*[F.lit(v).cast(_type(k)).alias(k) for k, v in commit.items()])
             .coalesce(1)
             .write.mode("append")
             .parquet(f"{self.path}/commits")
