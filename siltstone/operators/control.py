@@ -11,6 +11,7 @@ from siltstone import values as V
 from siltstone.functions.measures import seconds_between
 from siltstone.functions.predicates import holds
 from siltstone.operators.merge import upsert
+from siltstone.operators.skew import salted_lookup
 
 REJECTED = "REJECTED"
 ADVANCE = "ADVANCE"
@@ -57,8 +58,7 @@ def load_modes(
     known = watermarks.select(dataset, "watermark_value")
     changed = F.col(updated_at) > F.col("watermark_value")
     windows = (
-        source.select(dataset, updated_at)
-        .join(known, dataset, "left")
+        salted_lookup(source.select(dataset, updated_at), known, dataset)
         .groupBy(dataset)
         .agg(
             F.count(F.lit(1)).alias("source_record_count"),
@@ -144,29 +144,21 @@ def manifest_gate(
     )
 
 
-def manifest_totals(manifests: DataFrame, run_id: str = "run_id") -> DataFrame:
+def manifest_totals(entries: DataFrame, run_id: str = "run_id") -> DataFrame:
     """Files, distinct file names and records that each manifest lists."""
-    names = F.transform("files", lambda f: f["file_name"])
-    records = F.aggregate(
-        "files",
-        F.lit(0).cast("long"),
-        lambda total, f: total + F.coalesce(f["record_count"], F.lit(0)),
-    )
-    return manifests.select(
-        run_id,
-        F.size("files").cast("long").alias("listed_files"),
-        F.size(F.array_distinct(names)).cast("long").alias("distinct_files"),
-        records.alias("listed_records"),
+    return entries.groupBy(run_id).agg(
+        F.count(F.lit(1)).alias("listed_files"),
+        F.count_distinct("file_name").alias("distinct_files"),
+        F.coalesce(F.sum("record_count"), F.lit(0)).alias("listed_records"),
     )
 
 
 def manifest_files(
-    manifests: DataFrame, inventory: DataFrame, run_id: str = "run_id"
+    entries: DataFrame, inventory: DataFrame, run_id: str = "run_id"
 ) -> DataFrame:
     """Listed and stored page files side by side, with what is wrong with each."""
     listed = (
-        manifests.select(run_id, F.inline("files"))
-        .groupBy(run_id, "file_name")
+        entries.groupBy(run_id, "file_name")
         .agg(
             F.count(F.lit(1)).alias("times_listed"),
             F.max("record_count").alias("listed_record_count"),
@@ -198,23 +190,26 @@ def manifest_files(
 
 
 def manifest_checks(
-    manifests: DataFrame, inventory: DataFrame, run_id: str = "run_id"
+    manifests: DataFrame,
+    entries: DataFrame,
+    inventory: DataFrame,
+    run_id: str = "run_id",
 ) -> DataFrame:
     """One row per manifest: whether its files, pages and totals hold."""
     files = (
-        manifest_files(manifests, inventory, run_id)
+        manifest_files(entries, inventory, run_id)
         .groupBy(run_id)
         .agg(F.count("problem").alias("file_problems"))
     )
     stated = manifests.select(
         run_id, "status", "pages_downloaded", "extracted_record_count"
     )
-    checked = stated.join(manifest_totals(manifests, run_id), run_id).join(
+    checked = stated.join(manifest_totals(entries, run_id), run_id, "left").join(
         files, run_id, "left"
     )
-    return checked.withColumns(
+    counts = ["listed_files", "distinct_files", "listed_records", "file_problems"]
+    return checked.na.fill(0, counts).withColumns(
         {
-            "file_problems": F.coalesce("file_problems", F.lit(0)),
             "names_unique": F.col("listed_files") == F.col("distinct_files"),
             "pages_match": holds(F.col("listed_files") == F.col("pages_downloaded")),
             "records_match": holds(
@@ -247,9 +242,9 @@ def run_summary(
 ) -> DataFrame:
     """Runs with their batches and the watermark of the batch's dataset.
 
-    Batches look up their watermark before they meet their run: datasets are few
-    and often one holds most batches, and a left join lets the adaptive planner
-    split such a dataset.
+    Runs with batches come from an inner join and runs without from an anti join,
+    in place of one outer join, whose batch side could not be split if one run held
+    very many of the batches.
     """
     end = F.coalesce("finished_at", F.current_timestamp() if now is None else now)
     run_columns = runs.select(
@@ -283,17 +278,35 @@ def run_summary(
         "watermark_value",
         "last_successful_pipeline_run_id",
     )
-    marked = batch_columns.join(marks, "dataset_id", "left")
+    with_batch = run_columns.join(batch_columns, "pipeline_run_id")
+    batched = batch_columns.select("pipeline_run_id").distinct()
+    without = run_columns.join(batched, "pipeline_run_id", "left_anti")
     last = F.col("last_successful_pipeline_run_id") == F.col("pipeline_run_id")
-    return run_columns.join(marked, "pipeline_run_id", "left").withColumn(
-        "is_last_successful_run", holds(last)
+    return (
+        with_batch.join(marks, "dataset_id", "left")
+        .unionByName(without, allowMissingColumns=True)
+        .withColumn("is_last_successful_run", holds(last))
     )
 
 
-def latest_runs(summary: DataFrame, rows: int = V.PROFILE_ROWS) -> DataFrame:
-    return summary.orderBy(
-        F.desc("pipeline_started_at"), "pipeline_run_id", "extract_batch_id"
-    ).limit(rows)
+def latest_runs(
+    runs: DataFrame,
+    batches: DataFrame,
+    watermarks: DataFrame,
+    now: Column | None = None,
+    rows: int = V.PROFILE_ROWS,
+) -> DataFrame:
+    """The first rows of the run summary, newest runs first.
+
+    Every run has at least one row, so the newest runs are picked before the join
+    and only their batches take part in it.
+    """
+    newest = runs.orderBy(F.desc("started_at"), "pipeline_run_id").limit(rows)
+    return (
+        run_summary(newest, batches, watermarks, now)
+        .orderBy(F.desc("pipeline_started_at"), "pipeline_run_id", "extract_batch_id")
+        .limit(rows)
+    )
 
 
 def watermark_decisions(
@@ -330,9 +343,11 @@ def watermark_decisions(
         .otherwise(ADVANCE)
     )
     return (
-        requests.join(run_state, "pipeline_run_id", "left")
-        .join(mark_state, "dataset_id", "left")
-        .select(
+        salted_lookup(
+            requests.join(run_state, "pipeline_run_id", "left"),
+            mark_state,
+            "dataset_id",
+        ).select(
             "pipeline_run_id",
             "dataset_id",
             "window_end",

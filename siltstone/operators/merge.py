@@ -20,8 +20,9 @@ from siltstone.functions.predicates import accounts_for, holds, supersedes
 TYPED = "typed"
 TEXT = "text"
 
-# Upper bound of rows broadcast by a merge.
+# Upper bounds of what a merge broadcasts.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 Keys = str | Sequence[str]
 
@@ -30,9 +31,23 @@ def _names(key: Keys) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def fits_broadcast(updates: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether the updates hold at most ``limit`` rows; stops counting beyond."""
-    return updates.limit(limit + 1).count() <= limit
+def fits_broadcast(
+    updates: DataFrame,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+) -> bool:
+    """Whether the updates are within both bounds, measured on the rows.
+
+    Over stored Parquet the row count comes from the footers, and the bytes are
+    only summed when the rows are few.
+    """
+    if updates.count() > max_rows:
+        return False
+    width = F.lit(0)
+    for field in updates.schema:
+        text = F.col(field.name).cast("string")
+        width = width + F.coalesce(F.octet_length(text), F.lit(0)) + 16
+    return (updates.agg(F.sum(width.cast("long"))).first()[0] or 0) <= max_bytes
 
 
 def _time(df: DataFrame, name: str, column: Column, compare: str) -> Column:

@@ -22,12 +22,18 @@ def require_empty(violations: DataFrame, message: str, shown: int = 5) -> None:
 
 
 def side_by_side(**one_row_frames: DataFrame) -> DataFrame:
-    """One-row DataFrames as one row, columns prefixed by the argument name."""
+    """One-row DataFrames as one row, columns prefixed by the argument name.
+
+    The rows are stacked and folded, so nothing is joined.
+    """
     named = [
         df.select([F.col(c).alias(f"{name}_{c}") for c in df.columns])
         for name, df in one_row_frames.items()
     ]
-    return reduce(lambda left, right: left.crossJoin(right), named)
+    stacked = reduce(
+        lambda upper, lower: upper.unionByName(lower, allowMissingColumns=True), named
+    )
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -36,15 +36,14 @@ def land_source_keys(
     keys = source.select(*schemas.RAW_KEYS.fieldNames())
     landing.write_pages(keys, prefix, [V.BUSINESS_KEY, ":id"])
     pages = landing.scan_batch(spark, prefix, schemas.RAW_KEYS, json_lines=True)
-    landing.write_manifest(
-        landing.build_manifest(
-            landing.page_inventory(pages),
-            run={"run_id": run_id, "dataset_id": dataset_id},
-            expected=total["record_count"],
-            source_records=total["record_count"],
-        ),
-        prefix,
+    inventory = landing.page_inventory(pages)
+    manifest = landing.build_manifest(
+        inventory,
+        run={"run_id": run_id, "dataset_id": dataset_id},
+        expected=total["record_count"],
+        source_records=total["record_count"],
     )
+    landing.write_manifest(manifest, inventory, prefix)
     return {
         "run_id": run_id,
         "prefix": prefix,
@@ -53,13 +52,20 @@ def land_source_keys(
     }
 
 
-def check_landed_keys(lake: Lake, prefix: str) -> None:
+def check_landed_keys(lake: Lake, prefix: str, run_id: str) -> None:
     """The pages on storage are those the manifest lists, in number and size."""
     pages = landing.scan_batch(lake.spark, prefix, schemas.RAW_KEYS, json_lines=True)
     manifest = landing.scan_manifest(lake.spark, prefix)
-    run = manifest.select("run_id")
-    inventory = landing.page_inventory(pages).crossJoin(run)
-    checks = control.manifest_checks(manifest, inventory)
+    require_empty(
+        manifest.filter(~F.col("run_id").eqNullSafe(F.lit(run_id))),
+        "The manifest belongs to another run.",
+    )
+    run = F.lit(run_id).alias("run_id")
+    checks = control.manifest_checks(
+        manifest,
+        landing.scan_entries(lake.spark, prefix).select(run, "*"),
+        landing.page_inventory(pages).select(run, "*"),
+    )
     require_empty(checks.filter("NOT accepted"), "The key snapshot is not complete.")
 
 
@@ -99,7 +105,7 @@ def reconcile_source(
     landed = land_source_keys(
         source, dataset_id=dataset_id, landing_root=landing_root, run_id=run_id
     )
-    check_landed_keys(lake, landed["prefix"])
+    check_landed_keys(lake, landed["prefix"], run_id)
     result = compare_keys(lake, landed["prefix"])
     require_agreement(lake, result)
     return {**landed, "summaries_match": soft["summaries_match"], "result": result}

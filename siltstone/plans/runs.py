@@ -192,22 +192,21 @@ def _land_manifest(
     """Write and check the manifest of landed pages, and register the pages."""
     pages = landing.scan_batch(lake.spark, prefix, schema, json_lines=True)
     inventory = landing.page_inventory(pages)
-    landing.write_manifest(
-        landing.build_manifest(
-            inventory, run=run, expected=expected, source_records=source_records
-        ),
-        prefix,
+    manifest = landing.build_manifest(
+        inventory, run=run, expected=expected, source_records=source_records
     )
-    manifest = landing.scan_manifest(lake.spark, prefix)
-    if run.get("extract_batch_id"):
-        entries = manifest.select(
-            "extract_batch_id",
-            F.inline("files"),
-            F.lit(None).cast("string").alias("checksum_sha256"),
-            F.current_timestamp().alias("created_at"),
-        ).withColumn("object_path", F.concat(F.lit(prefix), "file_name"))
-        lake.files.replace(control.register_files(lake.control_files(), entries))
-    return manifest.drop("files").first()
+    landing.write_manifest(manifest, inventory, prefix)
+    entries = landing.scan_entries(lake.spark, prefix).select(
+        F.lit(run["extract_batch_id"]).alias("extract_batch_id"),
+        "file_name",
+        F.concat(F.lit(prefix), "file_name").alias("object_path"),
+        "record_count",
+        "file_size_bytes",
+        F.lit(None).cast("string").alias("checksum_sha256"),
+        F.current_timestamp().alias("created_at"),
+    )
+    lake.files.replace(control.register_files(lake.control_files(), entries))
+    return landing.scan_manifest(lake.spark, prefix).drop("files").first()
 
 
 def finish_run(lake: Lake, run_id: str, dataset_id: str, window_end: datetime) -> dict:
@@ -362,8 +361,10 @@ def bootstrap(
 
 
 def recent_runs(lake: Lake, rows: int = V.PROFILE_ROWS) -> DataFrame:
-    summary = control.run_summary(
-        lake.control_runs(), lake.control_batches(), lake.control_watermarks()
+    return control.latest_runs(
+        lake.control_runs(),
+        lake.control_batches(),
+        lake.control_watermarks(),
+        rows=rows,
     )
-    return control.latest_runs(summary, rows)
 

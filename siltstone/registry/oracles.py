@@ -417,8 +417,8 @@ ORACLES: dict[str, str] = {
           run_id = 'signup' AS accepted
         FROM counts WHERE run_id <> 'view'""",
     "manifest_total": f"""WITH {EVENT_RUNS}
-        SELECT run_id, n AS listed_records FROM counts
-        WHERE run_id NOT IN ('view', 'click')""",
+        SELECT run_id, CASE run_id WHEN 'click' THEN 2 * n ELSE n END
+          AS listed_records FROM counts WHERE run_id <> 'view'""",
     "extraction_status": """
         WITH c AS (SELECT l_orderkey, count(*) AS n, max(l_linenumber) AS pages,
             l_orderkey % 7 + 1 AS want, CASE WHEN l_orderkey % 3 = 0 THEN 5 END AS cap

@@ -77,24 +77,33 @@ def _landed_events(spark, sf_dir):
         expected=rows.count(),
         source_records=rows.count(),
     )
-    landing.write_manifest(manifest, prefix)
-    return prefix, inventory
+    landing.write_manifest(manifest, inventory, prefix)
+    return prefix
 
 
 @query
 def landing_manifest(spark, sf_dir):
-    prefix, _ = _landed_events(spark, sf_dir)
-    manifest = landing.scan_manifest(spark, prefix)
-    sizes = F.transform("files", lambda f: f["record_count"])
-    return manifest.select(
+    prefix = _landed_events(spark, sf_dir)
+    stated = [
         "run_id",
         "dataset_id",
         "page_size",
         "expected_record_count",
         "extracted_record_count",
         "status",
-        (F.array_max(sizes) <= V.PAGE_SIZE).alias("pages_within_size"),
-        (F.size("files") == F.col("pages_downloaded")).alias("pages_listed"),
+    ]
+    both = quality.side_by_side(
+        stated=landing.scan_manifest(spark, prefix).select(*stated, "pages_downloaded"),
+        listed=landing.scan_entries(spark, prefix).agg(
+            F.count(F.lit(1)).alias("pages"), F.max("record_count").alias("largest")
+        ),
+    )
+    return both.select(
+        *[F.col(f"stated_{name}").alias(name) for name in stated],
+        (F.col("listed_largest") <= V.PAGE_SIZE).alias("pages_within_size"),
+        (F.col("listed_pages") == F.col("stated_pages_downloaded")).alias(
+            "pages_listed"
+        ),
     )
 
 
@@ -114,39 +123,30 @@ def _landed_runs(spark, sf_dir):
         F.col("_metadata.file_size").alias("file_size_bytes"),
     ).agg(F.count(F.lit(1)).alias("record_count"))
     run = F.col("run_id")
-    entry = F.struct(
-        "file_name",
-        "record_count",
-        F.when(run == "error", F.col("file_size_bytes") + 1)
-        .otherwise(F.col("file_size_bytes"))
-        .alias("file_size_bytes"),
-    )
-    listed = F.collect_list(entry)
-    manifests = (
-        inventory.filter(run != "view")
-        .groupBy("run_id")
-        .agg(
-            F.sum("record_count").alias("extracted_record_count"),
-            F.count(F.lit(1)).alias("pages_downloaded"),
-            listed.alias("files"),
-        )
-        .withColumns(
-            {
-                "files": F.when(
-                    run == "click", F.concat("files", F.slice("files", 1, 1))
-                ).otherwise(F.col("files")),
-                "expected_record_count": F.col("extracted_record_count")
-                + F.when(run == "click", 1).otherwise(0),
-                "status": F.when(run == "purchase", V.PARTIAL).otherwise(V.SUCCESS),
-            }
-        )
+    size = F.col("file_size_bytes")
+    entries = inventory.filter(run != "view").withColumns(
+        {
+            "file_size_bytes": F.when(run == "error", size + 1).otherwise(size),
+            "times": F.when(run == "click", 2).otherwise(1),
+        }
+    )
+    manifests = entries.groupBy("run_id").agg(
+        F.sum("record_count").alias("extracted_record_count"),
+        F.count(F.lit(1)).alias("pages_downloaded"),
+        (
+            F.sum("record_count") + F.when(run == "click", 1).otherwise(0)
+        ).alias("expected_record_count"),
+        F.when(run == "purchase", V.PARTIAL).otherwise(V.SUCCESS).alias("status"),
     )
-    return inventory, manifests
+    listed = entries.withColumn(
+        "times", F.explode(F.sequence(F.lit(1), F.col("times")))
+    ).drop("times")
+    return inventory, manifests, listed
 
 
 @query
 def manifest_gate(spark, sf_dir):
-    inventory, manifests = _landed_runs(spark, sf_dir)
+    inventory, manifests, _ = _landed_runs(spark, sf_dir)
     counts = inventory.groupBy("run_id").agg(
         F.sum("record_count").alias("actual_record_count")
     )
@@ -155,8 +155,8 @@ def manifest_gate(spark, sf_dir):
 
 @query
 def manifest_files(spark, sf_dir):
-    inventory, manifests = _landed_runs(spark, sf_dir)
-    return control.manifest_checks(manifests, inventory).select(
+    inventory, manifests, listed = _landed_runs(spark, sf_dir)
+    return control.manifest_checks(manifests, listed, inventory).select(
         "run_id",
         "names_unique",
         "pages_match",
@@ -168,9 +168,8 @@ def manifest_files(spark, sf_dir):
 
 @query
 def manifest_total(spark, sf_dir):
-    _, manifests = _landed_runs(spark, sf_dir)
-    whole = manifests.filter("run_id <> 'click'")
-    return control.manifest_totals(whole).select("run_id", "listed_records")
+    _, _, listed = _landed_runs(spark, sf_dir)
+    return control.manifest_totals(listed).select("run_id", "listed_records")
 
 
 @query
@@ -659,13 +658,13 @@ def run_summary(spark, sf_dir):
 
 @query
 def latest_runs(spark, sf_dir):
-    summary = control.run_summary(
+    latest = control.latest_runs(
         given.runs(spark, sf_dir),
         given.batches(spark, sf_dir),
         given.watermarks(spark, sf_dir),
         _moment(NOW),
     )
-    return control.latest_runs(summary).select(
+    return latest.select(
         "pipeline_run_id",
         "extract_batch_id",
         "run_type",

@@ -46,7 +46,7 @@ BASE_INCIDENT = T.StructType(
     + _strings("source_file")
 )
 
-MANIFEST_FILE = T.StructType(
+PAGE_ENTRY = T.StructType(
     [
         T.StructField("file_name", T.StringType()),
         T.StructField("record_count", T.LongType()),
@@ -75,7 +75,7 @@ MANIFEST = T.StructType(
         T.StructField("extracted_record_count", T.LongType()),
         T.StructField("pages_downloaded", T.LongType()),
         T.StructField("status", T.StringType()),
-        T.StructField("files", T.ArrayType(MANIFEST_FILE)),
+        T.StructField("files", T.ArrayType(PAGE_ENTRY)),
     ]
 )
 

@@ -1,4 +1,9 @@
-"""Landed batches: pages of records plus one manifest, under a run prefix."""
+"""Landed batches: pages of records plus one manifest, under a run prefix.
+
+A manifest written here is a header row in one folder and one row per page file in
+another, so a batch of many pages needs no single huge record. A manifest that is
+one JSON object with all its files nested inside is read as well.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +16,7 @@ from siltstone import values as V
 # neither matches the manifest.
 PAGES_GLOB = "part*.json"
 MANIFEST_FOLDER = "manifest"
+ENTRIES_FOLDER = "page_entries"
 
 
 def batch_path(root: str, run_id: str) -> str:
@@ -45,7 +51,7 @@ def scan_batch(
 
 
 def scan_manifest(spark: SparkSession, prefix: str) -> DataFrame:
-    """The manifest of a batch as a one-row DataFrame."""
+    """The manifest of a batch as a one-row DataFrame, nested files included."""
     return (
         spark.read.schema(schemas.MANIFEST)
         .option("multiLine", True)
@@ -53,6 +59,18 @@ def scan_manifest(spark: SparkSession, prefix: str) -> DataFrame:
     )
 
 
+def scan_entries(spark: SparkSession, prefix: str) -> DataFrame:
+    """The listed page files of a batch written by ``write_manifest``."""
+    return spark.read.schema(schemas.PAGE_ENTRY).json(
+        f"{prefix.rstrip('/')}/{ENTRIES_FOLDER}"
+    )
+
+
+def nested_entries(manifests: DataFrame, run_id: str = "run_id") -> DataFrame:
+    """The page files nested in manifests, one row each."""
+    return manifests.select(run_id, F.inline("files"))
+
+
 def write_pages(
     rows: DataFrame, prefix: str, order_by: list[str], page_size: int = V.PAGE_SIZE
 ) -> None:
@@ -79,15 +97,10 @@ def page_inventory(pages: DataFrame) -> DataFrame:
 
 
 def summarize_inventory(inventory: DataFrame) -> DataFrame:
-    """One row: pages, records and the file entries of a manifest.
-
-    The entries are one small struct per page file, as in any manifest.
-    """
-    entry = F.struct("file_name", "record_count", "file_size_bytes")
+    """One row: pages and records."""
     return inventory.agg(
         F.count(F.lit(1)).alias("pages_downloaded"),
         F.coalesce(F.sum("record_count"), F.lit(0)).alias("extracted_record_count"),
-        F.sort_array(F.collect_list(entry)).alias("files"),
     )
 
 
@@ -122,7 +135,7 @@ def build_manifest(
     page_size: int = V.PAGE_SIZE,
     max_pages: int | None = None,
 ) -> DataFrame:
-    """The manifest of a landed batch; ``run`` gives its text fields."""
+    """The manifest header of a landed batch; ``run`` gives its text fields."""
     summary = summarize_inventory(inventory)
     filled = summary.withColumns(
         {
@@ -137,14 +150,18 @@ def build_manifest(
             ),
         }
     )
+    header = [f for f in schemas.MANIFEST if f.name != "files"]
     texts = [
         F.lit(run.get(f.name)).cast("string").alias(f.name)
-        for f in schemas.MANIFEST
+        for f in header
         if f.name not in filled.columns
     ]
-    return filled.select("*", *texts).select(*schemas.MANIFEST.fieldNames())
+    return filled.select("*", *texts).select(*[f.name for f in header])
 
 
-def write_manifest(manifest: DataFrame, prefix: str) -> None:
-    """Written after the pages, so its presence marks the batch as complete."""
-    manifest.coalesce(1).write.json(f"{prefix.rstrip('/')}/{MANIFEST_FOLDER}")
+def write_manifest(manifest: DataFrame, inventory: DataFrame, prefix: str) -> None:
+    """Written after the pages, the header last: it marks the batch as complete."""
+    folder = prefix.rstrip("/")
+    stated = inventory.select("file_name", "record_count", "file_size_bytes")
+    stated.write.json(f"{folder}/{ENTRIES_FOLDER}")
+    manifest.coalesce(1).write.json(f"{folder}/{MANIFEST_FOLDER}")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import control, quality, reconcile
 from siltstone.operators.quality import QualityError
+from siltstone.sources.landing import nested_entries
 
 CASES = [
     (0, 100, "NO_CHANGES"),
@@ -86,7 +87,8 @@ def test_manifest_files_are_told_apart(spark):
         [("run", "a", 2, 10), ("run", "b", 3, 10), ("run", "c", 1, 11), ("run", "e", 1, 1)],
         "run_id string, file_name string, record_count long, file_size_bytes long",
     )
-    files = control.manifest_files(manifests, inventory)
+    entries = nested_entries(manifests)
+    files = control.manifest_files(entries, inventory)
     assert rows(files.select("file_name", "problem")) == [
         ("a", None),
         ("b", "LISTED_TWICE"),
@@ -94,7 +96,7 @@ def test_manifest_files_are_told_apart(spark):
         ("d", "NOT_STORED"),
         ("e", "NOT_LISTED"),
     ]
-    check = control.manifest_checks(manifests, inventory).first()
+    check = control.manifest_checks(manifests, entries, inventory).first()
     assert not check["accepted"]
     assert (check["names_unique"], check["pages_match"], check["records_match"]) == (
         False,
