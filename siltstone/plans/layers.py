@@ -3,6 +3,7 @@
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from siltstone import values as V
@@ -39,8 +40,8 @@ def load_base(
 ) -> LoadReport:
     """Check, deduplicate and apply one landed batch to the base table.
 
-    A full snapshot replaces the table, an incremental batch is merged into it,
-    and a batch that changes nothing leaves no commit.
+    A full snapshot replaces the table and needs a matching manifest, an
+    incremental batch is merged, and a batch that changes nothing makes no commit.
     """
     incoming = staging.stage_batch(
         scan_batch(lake.spark, prefix, json_lines=json_lines),
@@ -49,14 +50,29 @@ def load_base(
         ingested_at=ingested_at or datetime.now(timezone.utc),
         source_prefix=prefix,
     )
+    profile = check_batch(incoming, full_snapshot)
+    if full_snapshot:
+        _require_manifest(lake, prefix, run_id, profile["incoming_count"])
+    return apply_batch(lake, incoming, profile, full_snapshot, compare)
+
+
+def check_batch(incoming: DataFrame, full_snapshot: bool = False) -> Row:
+    """The counts of a staged batch; raises when a gate fails."""
     counts = staged(staging.batch_profile(incoming), "profile")
     require_empty(
         staging.batch_problems(counts, full_snapshot), "The batch is not loadable."
     )
-    profile = counts.first()
-    if full_snapshot:
-        _require_manifest(lake, prefix, run_id, profile["incoming_count"])
+    return counts.first()
 
+
+def apply_batch(
+    lake: Lake,
+    incoming: DataFrame,
+    profile: Row,
+    full_snapshot: bool = False,
+    compare: str = merge.TYPED,
+) -> LoadReport:
+    """Deduplicate a checked batch, apply it, and verify the saved table."""
     updates = staged(staging.dedupe_latest(incoming), "updates")
     small = merge.fits_broadcast(updates)
     merged = None

@@ -4,13 +4,57 @@ The stream's checkpoint remembers which pages were loaded. A micro-batch may be
 delivered twice after a failure; the merge then finds nothing to do.
 """
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from siltstone import schemas
-from siltstone.operators import staging
+from siltstone.operators.staging import stage_batch
 from siltstone.plans.lake import Lake
-from siltstone.plans.layers import apply_updates, load_checked
+from siltstone.plans.layers import LoadReport, apply_batch, check_batch
 from siltstone.sources.landing import PAGES_GLOB
+
+
+def load_new_pages(
+    lake: Lake,
+    landing_root: str,
+    checkpoint: str,
+    *,
+    dataset_id: str,
+    json_lines: bool = False,
+    pages_per_batch: int = 1000,
+    on_load: Callable[[LoadReport], None] | None = None,
+) -> StreamingQuery:
+    """Start loading every page under the landing root not loaded before, then stop.
+
+    Each micro-batch passes the gates of an incremental load and is merged.
+    """
+    pages = (
+        lake.spark.readStream.schema(schemas.RAW_INCIDENT)
+        .option("multiLine", not json_lines)
+        .option("maxFilesPerTrigger", pages_per_batch)
+        .json(f"{landing_root.rstrip('/')}/*/{PAGES_GLOB}")
+    )
+
+    def load(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        incoming = stage_batch(
+            batch,
+            dataset_id=dataset_id,
+            run_id=f"stream-{number:06d}",
+            ingested_at=datetime.now(timezone.utc),
+            source_prefix=landing_root,
+        )
+        report = apply_batch(lake, incoming, check_batch(incoming))
+        if on_load is not None:
+            on_load(report)
+
+    return (
+        pages.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
