@@ -109,6 +109,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--lake-root", default=os.getenv("LAKE_ROOT"))
     parser.add_argument("--raw-root", default=os.getenv("RAW_ROOT"))
     parser.add_argument("--dataset-id", default="incidents")
+    parser.add_argument("--base-buckets", type=int, default=0)
     jobs = parser.add_subparsers(required=True)
     for job in (silver, gold, models, validate, inspect, history):
         jobs.add_parser(job.__name__).set_defaults(job=job)
@@ -133,7 +134,7 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("--lake-root or LAKE_ROOT is required")
     spark = build_session()
     try:
-        args.job(Lake(spark, args.lake_root), args)
+        args.job(Lake(spark, args.lake_root, base_buckets=args.base_buckets), args)
     finally:
         spark.stop()
 

@@ -5,16 +5,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone import schemas
+from siltstone import values as V
 from siltstone.sources.tables import VersionedTable, ensure_namespace, publish
 
 
 class Lake:
-    """Data and control tables under one root folder (any Hadoop file system)."""
+    """Data and control tables under one root folder (any Hadoop file system).
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``base_buckets`` buckets the base table by its key, so a merge shuffles the batch
+    only; choose it so that a bucket fits a task.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, *, base_buckets: int = 0):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.bronze = self._table("bronze/incident_reports")
+        self.bronze = VersionedTable(
+            spark,
+            f"{self.root}/bronze/incident_reports",
+            bucket_key=V.BUSINESS_KEY,
+            buckets=base_buckets,
+        )
         self.silver = self._table("silver/incident_reports")
         self.summary = self._table("gold/monthly_summary")
         self.fact = self._table("marts/incident_fact")

@@ -74,7 +74,8 @@ def apply_batch(
 ) -> LoadReport:
     """Deduplicate a checked batch, apply it, and verify the saved table."""
     updates = staged(staging.dedupe_latest(incoming), "updates")
-    small = merge.fits_broadcast(updates)
+    bucketed = lake.bronze.buckets > 0
+    small = not bucketed and merge.fits_broadcast(updates)
     merged = None
     committed = True
     if full_snapshot or not lake.bronze.exists():
@@ -87,7 +88,8 @@ def apply_batch(
         committed = merged > 0
         if committed:
             lake.bronze.replace(
-                merge.upsert(target, updates, compare=compare, small_updates=small)
+                merge.upsert(target, updates, compare=compare, small_updates=small),
+                keeps_buckets=bucketed,
             )
 
     stored = lake.bronze.read()

@@ -514,6 +514,7 @@ ORACLES: dict[str, str] = {
     "unapplied_rows": f"WITH {MERGE} {_UNAPPLIED.format(stored='target')}",
     "upsert": f"WITH {MERGE} SELECT * FROM merged",
     "upsert_small_batch": f"WITH {MERGE} SELECT * FROM merged",
+    "upsert_bucketed": f"WITH {MERGE} SELECT * FROM merged",
     "upsert_idempotent": f"""WITH {MERGE}
         SELECT (SELECT count(*) FROM candidates) AS first_rows,
           CAST(0 AS BIGINT) AS again_rows,

@@ -338,6 +338,19 @@ def upsert_small_batch(spark, sf_dir):
     )
 
 
+@query
+def upsert_bucketed(spark, sf_dir):
+    """The same merge into a table bucketed by its key."""
+    table = VersionedTable(
+        spark,
+        given.fresh_path(spark, "bucketed"),
+        bucket_key=V.BUSINESS_KEY,
+        buckets=16,
+    )
+    table.replace(given.merge_target(spark, sf_dir))
+    return merge.upsert(table.read(), given.merge_updates(spark, sf_dir))
+
+
 @query
 def upsert_idempotent(spark, sf_dir):
     """Applying the same updates again finds nothing to do."""

@@ -130,5 +130,7 @@ COMMIT = T.StructType(
         T.StructField("operation", T.StringType()),
         T.StructField("path", T.StringType()),
         T.StructField("record_count", T.LongType()),
+        T.StructField("bucket_key", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
     ]
 )

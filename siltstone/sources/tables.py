@@ -60,6 +60,10 @@ def _type(name: str):
     return schemas.COMMIT[name].dataType
 
 
+def _catalog_name(folder: str) -> str:
+    return "siltstone_" + folder.rsplit("/", 1)[1].replace("-", "_")
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read back.
 
@@ -73,11 +77,24 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 
 class VersionedTable:
-    """A Parquet table whose whole content is replaced by each commit."""
+    """A Parquet table whose whole content is replaced by each commit.
 
-    def __init__(self, spark: SparkSession, path: str):
+    With ``bucket_key`` and ``buckets`` the files are bucketed by the key, so joins
+    on it need no shuffle of this table.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        *,
+        bucket_key: str | None = None,
+        buckets: int = 0,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.bucket_key = bucket_key
+        self.buckets = buckets if bucket_key else 0
 
     def history(self) -> DataFrame:
         """Version, time, operation, folder and record count of every commit."""
@@ -103,7 +120,19 @@ class VersionedTable:
         commit = commits.orderBy(F.desc("version")).first()
         if commit is None:
             raise ValueError(f"No such table version: {self.path} {version or ''}")
-        return self.spark.read.parquet(commit["path"])
+        files = self.spark.read.parquet(commit["path"])
+        if not commit["buckets"]:
+            return files
+        # A catalog entry tells Spark about the buckets; the files stay where they are.
+        name = _catalog_name(commit["path"])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
+        key = f"`{commit['bucket_key']}`"
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {commit['buckets']} BUCKETS "
+            f"LOCATION '{commit['path']}'"
+        )
+        return self.spark.table(name)
 
     def replace(
         self,
@@ -111,12 +140,26 @@ class VersionedTable:
         *,
         year_of: str | None = None,
         year_column: str | None = None,
+        keeps_buckets: bool = False,
     ) -> int:
-        """Make ``df`` the content of the table; returns the rows written."""
+        """Make ``df`` the content of the table; returns the rows written.
+
+        ``keeps_buckets`` says that ``df`` comes out of a join of this table on its
+        key: each task then holds one bucket already and nothing is shuffled.
+        """
         previous = self.latest()
         version = 1 if previous is None else previous["version"] + 1
-        folder = f"{self.path}/data/{version:06d}-{uuid.uuid4().hex[:8]}"
-        if year_of is None:
+        folder = f"{self.path}/data/{version:06d}-{uuid.uuid4().hex}"
+        if self.buckets:
+            key = self.bucket_key
+            aligned = df if keeps_buckets else df.repartition(self.buckets, key)
+            (
+                aligned.write.bucketBy(self.buckets, key)
+                .sortBy(key)
+                .option("path", folder)
+                .saveAsTable(_catalog_name(folder), format="parquet")
+            )
+        elif year_of is None:
             df.write.parquet(folder)
         else:
             write_by_year(df, folder, year_of, year_column or f"{year_of}_year")
@@ -129,6 +172,8 @@ class VersionedTable:
             "operation": APPEND if previous is None else OVERWRITE,
             "path": folder,
             "record_count": rows,
+            "bucket_key": self.bucket_key if self.buckets else None,
+            "buckets": self.buckets,
         }
         (
             self.spark.range(1)

@@ -50,8 +50,11 @@ def lake(spark, tmp_path):
     return Lake(spark, str(tmp_path / "lake"))
 
 
-@pytest.mark.parametrize("compare", ["typed", "text"])
-def test_create_merge_and_rerun(lake, tmp_path, compare):
+@pytest.mark.parametrize(
+    "compare, buckets", [("typed", 0), ("text", 0), ("typed", 4)]
+)
+def test_create_merge_and_rerun(spark, tmp_path, compare, buckets):
+    lake = Lake(spark, str(tmp_path / "lake"), base_buckets=buckets)
     initial = land(tmp_path / "raw", "fixture_initial", INITIAL)
     incremental = land(tmp_path / "raw", "fixture_incremental", INCREMENTAL)
 

@@ -78,6 +78,22 @@ def test_small_updates_do_not_shuffle_the_target(spark, sf_dir, no_auto_broadcas
     assert "Exchange hashpartitioning" not in rewritten
 
 
+def test_bucketed_target_is_never_shuffled(spark, tmp_path, no_auto_broadcast):
+    target = spark.range(1000).selectExpr("cast(id AS string) k", "id t", "'1' v")
+    updates = spark.range(500, 1500).selectExpr("cast(id AS string) k", "id + id % 2 t", "'1' v")
+    table = VersionedTable(spark, str(tmp_path / "t"), bucket_key="k", buckets=4)
+    table.replace(target)
+    merged = merge.upsert(table.read(), updates, "k", "t", "v")
+    assert plan(merged).count("Exchange hashpartitioning") == 1
+    assert table.replace(merged, keeps_buckets=True) == 1500
+    assert len(table.read().inputFiles()) == 4
+    unapplied = merge.unapplied_rows(updates, table.read(), "k", "t", "v")
+    assert plan(unapplied).count("Exchange hashpartitioning") == 1
+    assert unapplied.isEmpty()
+    plain = merge.upsert(target, updates, "k", "t", "v")
+    assert rows(table.read()) == rows(plain)
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     text = plan(changes.change_window(events, date(2024, 1, 10), "ts"))
