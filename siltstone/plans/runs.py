@@ -3,7 +3,7 @@
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from siltstone import schemas
@@ -15,6 +15,7 @@ from siltstone.plans.lake import Lake, one_row
 from siltstone.sources import changes, landing
 
 PIPELINE_NAME = "incident_load"
+PROCESSING_FAILURE = "PROCESSING_FAILURE"
 SOURCE_TIME = ":updated_at"
 SOURCE_ORDER = [":updated_at", ":id"]
 
@@ -23,6 +24,10 @@ class ReviewRequired(RuntimeError):
     """A bulk change that is not a complete snapshot waits for a person."""
 
 
+class ExtractionIncomplete(RuntimeError):
+    """The landed records are not the expected ones."""
+
+
 def _utc_text(moment: datetime) -> str:
     return moment.astimezone(timezone.utc).isoformat()
 
@@ -105,43 +110,24 @@ def extract_changes(
     mode = window["load_mode"]
     if mode in (V.NO_CHANGES, V.REVIEW_REQUIRED):
         return _record_outcome(lake, timed, marks, dataset_id)
-
     mark = marks.filter(F.col("dataset_id") == dataset_id).first()["watermark_value"]
     prefix = landing.batch_path(landing_root, run_id)
     ids = _open_run(lake, mode, dataset_id, prefix)
-    expected = window["changed_record_count"]
-    try:
-        rows = changes.window_rows(source, mark, window["window_end"], SOURCE_TIME)
-        landing.write_pages(rows, prefix, SOURCE_ORDER)
-        manifest = _land_manifest(
-            lake,
-            prefix,
-            rows.schema,
-            expected=expected,
-            source_records=window["source_record_count"],
-            run={
-                **ids,
-                "run_id": run_id,
-                "run_type": mode,
-                "load_mode": mode,
-                "dataset_id": dataset_id,
-                "watermark_start": _utc_text(mark),
-                "window_end": _utc_text(window["window_end"]),
-            },
-        )
-        if manifest["status"] != V.SUCCESS:
-            raise ValueError(f"Extraction finished with status {manifest['status']}.")
-    except Exception as error:
-        _close_batch(lake, ids["extract_batch_id"], status=V.FAILED)
-        mark_failed(lake, ids["pipeline_run_id"], V.UNKNOWN_ERROR, str(error))
-        raise
-    _close_batch(
+    manifest = _land_batch(
         lake,
-        ids["extract_batch_id"],
-        status=V.SUCCESS,
-        pages_downloaded=manifest["pages_downloaded"],
-        record_count=manifest["extracted_record_count"],
-        manifest_path=f"{prefix}{landing.MANIFEST_FOLDER}",
+        changes.window_rows(source, mark, window["window_end"], SOURCE_TIME),
+        prefix,
+        expected=window["changed_record_count"],
+        source_records=window["source_record_count"],
+        run={
+            **ids,
+            "run_id": run_id,
+            "run_type": mode,
+            "load_mode": mode,
+            "dataset_id": dataset_id,
+            "watermark_start": _utc_text(mark),
+            "window_end": _utc_text(window["window_end"]),
+        },
     )
     return {
         **ids,
@@ -186,27 +172,55 @@ def _record_outcome(lake: Lake, timed, marks, dataset_id: str) -> dict:
     }
 
 
-def _land_manifest(
-    lake: Lake, prefix: str, schema, *, run: dict, expected: int, source_records: int
-):
-    """Write and check the manifest of landed pages, and register the pages."""
-    pages = landing.scan_batch(lake.spark, prefix, schema, json_lines=True)
-    inventory = landing.page_inventory(pages)
-    manifest = landing.build_manifest(
-        inventory, run=run, expected=expected, source_records=source_records
-    )
-    landing.write_manifest(manifest, inventory, prefix)
-    entries = landing.scan_entries(lake.spark, prefix).select(
-        F.lit(run["extract_batch_id"]).alias("extract_batch_id"),
-        "file_name",
-        F.concat(F.lit(prefix), "file_name").alias("object_path"),
-        "record_count",
-        "file_size_bytes",
-        F.lit(None).cast("string").alias("checksum_sha256"),
-        F.current_timestamp().alias("created_at"),
+def _land_batch(
+    lake: Lake,
+    rows: DataFrame,
+    prefix: str,
+    *,
+    run: dict,
+    expected: int,
+    source_records: int,
+) -> Row:
+    """Land rows as pages and manifest, register the pages, and close the batch.
+
+    A batch that is not complete fails its run before anything reads it.
+    """
+    try:
+        landing.write_pages(rows, prefix, SOURCE_ORDER)
+        pages = landing.scan_batch(lake.spark, prefix, rows.schema, json_lines=True)
+        inventory = landing.page_inventory(pages)
+        manifest = landing.build_manifest(
+            inventory, run=run, expected=expected, source_records=source_records
+        )
+        landing.write_manifest(manifest, inventory, prefix)
+        entries = landing.scan_entries(lake.spark, prefix).select(
+            F.lit(run["extract_batch_id"]).alias("extract_batch_id"),
+            "file_name",
+            F.concat(F.lit(prefix), "file_name").alias("object_path"),
+            "record_count",
+            "file_size_bytes",
+            F.lit(None).cast("string").alias("checksum_sha256"),
+            F.current_timestamp().alias("created_at"),
+        )
+        lake.files.replace(control.register_files(lake.control_files(), entries))
+        landed = landing.scan_manifest(lake.spark, prefix).drop("files").first()
+    except Exception as error:
+        _close_batch(lake, run["extract_batch_id"], status=V.FAILED)
+        mark_failed(lake, run["pipeline_run_id"], V.UNKNOWN_ERROR, str(error))
+        raise
+    _close_batch(
+        lake,
+        run["extract_batch_id"],
+        status=landed["status"],
+        pages_downloaded=landed["pages_downloaded"],
+        record_count=landed["extracted_record_count"],
+        manifest_path=f"{prefix}{landing.MANIFEST_FOLDER}",
     )
-    lake.files.replace(control.register_files(lake.control_files(), entries))
-    return landing.scan_manifest(lake.spark, prefix).drop("files").first()
+    if landed["status"] != V.SUCCESS:
+        message = f"Extraction finished with status {landed['status']}."
+        mark_failed(lake, run["pipeline_run_id"], V.DATA_QUALITY_FAILURE, message)
+        raise ExtractionIncomplete(message)
+    return landed
 
 
 def finish_run(lake: Lake, run_id: str, dataset_id: str, window_end: datetime) -> dict:
@@ -292,12 +306,12 @@ def daily_load(
             json_lines=True,
         )
         _build_and_validate(lake)
+        finished = finish_run(
+            lake, batch["pipeline_run_id"], dataset_id, batch["window_end"]
+        )
     except Exception as error:
-        mark_failed(lake, batch["pipeline_run_id"], V.UNKNOWN_ERROR, str(error))
+        mark_failed(lake, batch["pipeline_run_id"], PROCESSING_FAILURE, str(error))
         raise
-    finished = finish_run(
-        lake, batch["pipeline_run_id"], dataset_id, batch["window_end"]
-    )
     return {**batch, **finished, "load": report}
 
 
@@ -307,31 +321,22 @@ def bootstrap(
     """The first full snapshot, all layers, and the first watermark."""
     prefix = landing.batch_path(landing_root, run_id)
     ids = _open_run(lake, V.FULL_SNAPSHOT, dataset_id, prefix)
+    expected = source.count()
+    _land_batch(
+        lake,
+        source,
+        prefix,
+        run={
+            **ids,
+            "run_id": run_id,
+            "run_type": V.FULL_SNAPSHOT,
+            "load_mode": V.FULL_SNAPSHOT,
+            "dataset_id": dataset_id,
+        },
+        expected=expected,
+        source_records=expected,
+    )
     try:
-        expected = source.count()
-        landing.write_pages(source, prefix, SOURCE_ORDER)
-        manifest = _land_manifest(
-            lake,
-            prefix,
-            source.schema,
-            run={
-                **ids,
-                "run_id": run_id,
-                "run_type": V.FULL_SNAPSHOT,
-                "load_mode": V.FULL_SNAPSHOT,
-                "dataset_id": dataset_id,
-            },
-            expected=expected,
-            source_records=expected,
-        )
-        _close_batch(
-            lake,
-            ids["extract_batch_id"],
-            status=manifest["status"],
-            pages_downloaded=manifest["pages_downloaded"],
-            record_count=manifest["extracted_record_count"],
-            manifest_path=f"{prefix}{landing.MANIFEST_FOLDER}",
-        )
         report = layers.load_base(
             lake,
             prefix,
@@ -342,7 +347,7 @@ def bootstrap(
         )
         _build_and_validate(lake)
     except Exception as error:
-        mark_failed(lake, ids["pipeline_run_id"], V.UNKNOWN_ERROR, str(error))
+        mark_failed(lake, ids["pipeline_run_id"], PROCESSING_FAILURE, str(error))
         raise
     stored = lake.bronze.read()
     lake.watermarks.replace(

@@ -129,7 +129,10 @@ def test_failed_gate_leaves_watermark_and_marks_run(spark, sf_dir, tmp_path):
     with pytest.raises(QualityError, match="source row id"):
         runs.bootstrap(lake, broken, **where(lake, "run-0"))
     run = lake.control_runs().first()
-    assert (run["status"], run["failure_category"]) == (V.FAILED, V.UNKNOWN_ERROR)
+    assert (run["status"], run["failure_category"]) == (
+        V.FAILED,
+        runs.PROCESSING_FAILURE,
+    )
     assert not lake.watermarks.exists()
     with pytest.raises(ValueError, match="No watermark"):
         runs.extract_changes(lake, source, **where(lake, "run-1"))
@@ -139,6 +142,27 @@ def test_failed_gate_leaves_watermark_and_marks_run(spark, sf_dir, tmp_path):
     assert failed_again["already_finalized"]
 
 
+def test_incomplete_extraction_fails_its_run(spark, source, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "tables"))
+    lake.raw_root = str(tmp_path / "raw")
+    write = runs.landing.write_pages
+    monkeypatch.setattr(
+        runs.landing,
+        "write_pages",
+        lambda rows, *rest: write(rows.filter(F.col(":id") != "row-7"), *rest),
+    )
+    with pytest.raises(runs.ExtractionIncomplete, match="COUNT_MISMATCH"):
+        runs.bootstrap(lake, source, **where(lake, "run-0"))
+    assert state(lake, lake.control_runs().first()["pipeline_run_id"]) == (
+        V.FAILED,
+        V.DATA_QUALITY_FAILURE,
+    )
+    batch = lake.control_batches().first()
+    assert batch["status"] == V.COUNT_MISMATCH
+    assert batch["record_count"] == source.count() - 1
+    assert not lake.bronze.exists()
+
+
 def test_layers_that_disagree_are_refused(lake):
     lake_copy = Lake(lake.spark, lake.root)
     tampered = lake.summary.read().withColumn(
