@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 from pathlib import Path
@@ -17,7 +19,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         spark__master="local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
@@ -31,6 +33,22 @@ def sf_dir():
     return SF_DIR
 
 
+@pytest.fixture
+def no_auto_broadcast(spark):
+    """Plans as for sizes at which Spark does not broadcast by itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan(df):
+    """The physical plan as text."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
 def rows(df):
     """Rows as a sorted list of tuples."""
     return sorted((tuple(row) for row in df.collect()), key=repr)

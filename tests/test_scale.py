@@ -1,11 +1,8 @@
 """Plans that hold on big data, and results with a hot key."""
 
-import contextlib
-import io
 from datetime import date
 
-import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from siltstone import values as V
@@ -18,34 +15,6 @@ from siltstone.sources.tables import VersionedTable, partition_stats, with_year_
 KEY = V.BUSINESS_KEY
 
 
-def plan(df):
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain()
-    return text.getvalue()
-
-
-@pytest.fixture
-def no_auto_broadcast(spark):
-    """Sizes at which Spark does not broadcast by itself."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-LOCAL_BROADCAST = {"change_window_pages", "upsert_small_batch"}
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_nested_loops_and_no_python(spark, sf_dir, no_auto_broadcast, name):
-    text = plan(QUERIES[name](spark, sf_dir))
-    assert "NestedLoop" not in text
-    assert "CartesianProduct" not in text
-    assert "Python" not in text
-    if name not in LOCAL_BROADCAST:
-        assert "BroadcastExchange" not in text
-
-
 def test_dedupe_limits_before_the_shuffle(spark, sf_dir):
     text = plan(QUERIES["dedupe_latest"](spark, sf_dir))
     before, after = text.split("Exchange hashpartitioning", 1)
