@@ -1,6 +1,6 @@
 """Command line of the jobs, for spark-submit.
 
-    spark-submit -m siltstone.jobs --lake-root <uri> bronze <run_id> --raw-root <uri>
+    spark-submit run_job.py --lake-root <uri> --raw-root <uri> bronze <run_id>
 """
 
 import argparse
@@ -137,7 +137,3 @@ def main(argv: list[str] | None = None) -> None:
         args.job(Lake(spark, args.lake_root, base_buckets=args.base_buckets), args)
     finally:
         spark.stop()
-
-
-if __name__ == "__main__":
-    main()

@@ -296,15 +296,19 @@ def latest_runs(
     now: Column | None = None,
     rows: int = V.PROFILE_ROWS,
 ) -> DataFrame:
-    """The first rows of the run summary, newest runs first.
+    """The first rows of the run summary: runs not started, then newest first.
 
     Every run has at least one row, so the newest runs are picked before the join
     and only their batches take part in it.
     """
-    newest = runs.orderBy(F.desc("started_at"), "pipeline_run_id").limit(rows)
+    newest = runs.orderBy(F.desc_nulls_first("started_at"), "pipeline_run_id").limit(rows)
     return (
         run_summary(newest, batches, watermarks, now)
-        .orderBy(F.desc("pipeline_started_at"), "pipeline_run_id", "extract_batch_id")
+        .orderBy(
+            F.desc_nulls_first("pipeline_started_at"),
+            "pipeline_run_id",
+            "extract_batch_id",
+        )
         .limit(rows)
     )
 

@@ -152,9 +152,11 @@ class VersionedTable:
         folder = f"{self.path}/data/{version:06d}-{uuid.uuid4().hex}"
         if self.buckets:
             key = self.bucket_key
-            aligned = df if keeps_buckets else df.repartition(self.buckets, key)
+            same = previous is not None and previous["buckets"] == self.buckets
+            aligned = keeps_buckets and same
+            rows_by_bucket = df if aligned else df.repartition(self.buckets, key)
             (
-                aligned.write.bucketBy(self.buckets, key)
+                rows_by_bucket.write.bucketBy(self.buckets, key)
                 .sortBy(key)
                 .option("path", folder)
                 .saveAsTable(_catalog_name(folder), format="parquet")

@@ -114,7 +114,8 @@ def test_dedupe_orders_versions_as_numbers(spark):
         ("b", TIMES[1], "1", "r2"),
         (None, TIMES[1], "1", "r1"),
     ]
-    schema = f"{V.BUSINESS_KEY} string, {V.UPDATED_AT} string, {V.VERSION} string, {V.ROW_ID} string"
+    names = (V.BUSINESS_KEY, V.UPDATED_AT, V.VERSION, V.ROW_ID)
+    schema = ", ".join(f"{name} string" for name in names)
     df = spark.createDataFrame(data, schema)
     kept = rows(staging.dedupe_latest(df).select(V.BUSINESS_KEY, V.VERSION, V.ROW_ID))
     assert kept == [("a", "10", "r0"), ("b", "1", "r2"), (None, "1", "r1")]
