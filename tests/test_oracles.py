@@ -5,8 +5,8 @@ import pytest
 from compare import connect, difference, sql_rows
 from conftest import plan
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+from siltstone.registry.oracles import ORACLES
+from siltstone.registry.queries import QUERIES
 
 # One row per partition, or a batch measured to be small.
 BOUNDED_BROADCAST = {"change_window_pages", "upsert_small_batch"}
@@ -32,6 +32,8 @@ def test_query_equals_sql(spark, sf_dir, database, no_auto_broadcast, name):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
 def test_entry(spark):
