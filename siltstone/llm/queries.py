@@ -1,6 +1,6 @@
 """The ten operators over the given tables, with production parameters."""
 
-from siltstone.llm import quality_rules, toxicity
+from siltstone.llm import html_text, packing, quality_rules, toxicity
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -22,3 +22,13 @@ def op9_toxicity(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
     return toxicity.score(documents, model)
+
+
+@query
+def op3_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
