@@ -1,6 +1,13 @@
 """The ten operators over the given tables, with production parameters."""
 
-from siltstone.llm import html_text, packing, quality_rules, toxicity
+from siltstone.llm import (
+    html_text,
+    licenses,
+    packing,
+    quality_rules,
+    toxicity,
+    url_filter,
+)
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -32,3 +39,13 @@ def op3_packing(spark, sf_dir):
 @query
 def op5_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
