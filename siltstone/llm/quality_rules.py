@@ -65,18 +65,15 @@ BARE = frozenset({b"|", b"-", b"*", b"#", b"=", b"+", b"/", b"\\", b"~", b">", b
 
 
 def measures(documents: DataFrame) -> DataFrame:
-    """``doc_id`` and the measures of every whole text; null text: no words."""
+    """All columns of the documents, then the measures of every whole text."""
     names = [part.split()[0] for part in MEASURES.split(",")]
 
     def rows(batch):
         found = [measure(t) for t in texts_of(batch["text"])]
         columns = zip(*found, strict=True) if found else [[] for _ in names]
-        return {"doc_id": batch["doc_id"]} | {
-            n: list(c) for n, c in zip(names, columns, strict=True)
-        }
+        return {n: list(c) for n, c in zip(names, columns, strict=True)}
 
-    schema = "doc_id long, " + MEASURES
-    return map_rows(documents.select("doc_id", "text"), rows, schema)
+    return map_rows(documents, rows, MEASURES, keep=True)
 
 
 @dataclass(frozen=True)
@@ -163,23 +160,44 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) -> VoteModel
     return VoteModel(prior, chances)
 
 
-def judge(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Measures, votes, posterior quality and verdict of every document.
+def learn(numbers: DataFrame) -> VoteModel:
+    """Fit on the vote patterns of all documents.
 
-    The number of distinct vote patterns is at most three to the number of rules,
-    whatever the corpus, and only their counts reach the driver. Null text has no
-    words and fails; repeated rows are judged each; an empty table gives no rows.
+    There are at most three to the number of rules of them, whatever the corpus, and
+    only their counts reach the driver.
     """
-    numbers = staged(measures(documents), "quality")
-    voted = numbers.select("*", *(rule.vote() for rule in RULES))
     names = [f"vote_{rule.name}" for rule in RULES]
-    # One narrow count: at most 3 ** len(RULES) rows.
+    voted = numbers.select(*(rule.vote() for rule in RULES))
     rows = voted.groupBy(names).count().collect()
     patterns = np.array([list(r)[:-1] for r in rows], int).reshape(-1, len(names))
-    model = fit(patterns, np.array([r["count"] for r in rows], float))
+    return fit(patterns, np.array([r["count"] for r in rows], float))
+
+
+def judged(numbers: DataFrame, model: VoteModel, threshold: float = 0.5) -> DataFrame:
+    """Measured documents with votes, ``quality``, ``base_failed`` and ``kept``."""
     failed = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     return (
-        voted.withColumn("quality", model.quality())
+        numbers.select("*", *(rule.vote() for rule in RULES))
+        .withColumn("quality", model.quality())
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("quality") >= threshold))
     )
+
+
+def judge(documents: DataFrame) -> DataFrame:
+    """Measures, votes, posterior quality and verdict of every document.
+
+    Null text has no words and fails; repeated rows are judged each; an empty table
+    gives no rows.
+    """
+    numbers = staged(measures(documents.select("doc_id", "text")).drop("text"), "quality")
+    return judged(numbers, learn(numbers))
+
+
+def filtered(documents: DataFrame) -> DataFrame:
+    """The documents that are kept, with their own columns only."""
+    texts = documents.select(F.col("text"))
+    model = learn(measures(texts).drop("text"))
+    whole = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("llm_row")
+    numbers = measures(documents.select("text", whole))
+    return judged(numbers, model).where("kept").select("llm_row.*")

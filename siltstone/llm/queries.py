@@ -1,6 +1,7 @@
 """The ten operators over the given tables, with production parameters."""
 
 from siltstone.llm import (
+    decontamination,
     html_text,
     licenses,
     packing,
@@ -49,3 +50,9 @@ def op10_licenses(spark, sf_dir):
 @query
 def op7_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_decontamination(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return decontamination.leaks(documents, table(spark, sf_dir, "benchmark"))

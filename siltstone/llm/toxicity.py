@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import crc_mod, map_rows, staged, texts_of
+from siltstone.llm.common import crc_mod, folded_words, map_rows, staged, texts_of
 
 #: Labelled rows of each class that the model is fitted on, at most; the rows with
 #: the lowest hash of their id are taken.
@@ -41,17 +41,6 @@ LEAST, COUNTED = -20, 8
 #: Word pairs under so many permutations tell near copies among the fitted rows.
 COPY_HASHES = 4
 
-_FOLD = bytes.maketrans(
-    bytes(range(65, 91)) + bytes(c for c in range(33, 127) if not chr(c).isalnum()),
-    bytes(range(97, 123)) + b" " * sum(not chr(c).isalnum() for c in range(33, 127)),
-)
-
-
-def windows(text: bytes) -> list[bytes]:
-    """One window for each word: letters A-Z in lower case, ASCII marks dropped."""
-    return text.translate(_FOLD).split()
-
-
 def _dictionary(samples: list[tuple[bytes, int]]) -> bytes:
     ordered = [w for w, _ in sorted(samples, key=lambda s: (s[1], s[0]))]
     content = b"".join(b" " + w for w in ordered) + b" "
@@ -152,7 +141,7 @@ def _fitted_rows(sample: DataFrame) -> DataFrame:
     hashes = [f"h{i}" for i in range(COPY_HASHES)]
 
     def rows(batch):
-        words = [windows(t) for t in texts_of(batch["text"])]
+        words = [folded_words(t) for t in texts_of(batch["text"])]
         made = {"toxic": batch["toxic"], "windows": [sorted(set(w)) for w in words]}
         keys = [_pair_hashes(w) for w in words]
         return made | {h: [k[i] for k in keys] for i, h in enumerate(hashes)}
@@ -245,25 +234,28 @@ def score(documents: DataFrame, model: ToxicityModel, held_out: int = 5) -> Data
     Whole texts are read. Null and empty texts have no window and get the score of
     the smallest distance; repeated rows are scored each.
     """
+    return scored(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        (crc_mod("doc_id", held_out) == 0).alias("held_out"),
+        F.col("llm_score").alias("score"),
+        (F.col("llm_score") >= 0.5).cast("int").alias("predicted"),
+        F.col("llm_top").alias("top"),
+        F.col("llm_beyond").alias("beyond"),
+    )
+
+
+def scored(documents: DataFrame, model: ToxicityModel) -> DataFrame:
+    """All columns of the documents, then ``llm_top, llm_beyond, llm_score``."""
     held: list = []  # one measurer for each task, with the windows it knows
 
     def rows(batch):
         if not held:
             held.append(model.distances.measurer())
-        each = [held[0](set(windows(t))) for t in texts_of(batch["text"])]
+        each = [held[0](set(folded_words(t))) for t in texts_of(batch["text"])]
         top = [max(d, default=LEAST) for d in each]
         beyond = [min(COUNTED, sum(x >= model.threshold for x in d)) for d in each]
         chance = model.probability(np.array(top, float), np.array(beyond, float))
-        made = {"doc_id": batch["doc_id"], "top": top, "beyond": beyond}
-        return made | {"score": chance}
+        return {"llm_top": top, "llm_beyond": beyond, "llm_score": chance}
 
-    schema = "doc_id long, top int, beyond int, score double"
-    scored = map_rows(documents.select("doc_id", "text"), rows, schema)
-    return scored.select(
-        "doc_id",
-        (crc_mod("doc_id", held_out) == 0).alias("held_out"),
-        "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"),
-        "top",
-        "beyond",
-    )
+    schema = "llm_top int, llm_beyond int, llm_score double"
+    return map_rows(documents, rows, schema, keep=True)
