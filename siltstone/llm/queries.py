@@ -4,6 +4,7 @@ from siltstone.llm import (
     decontamination,
     html_text,
     licenses,
+    near_duplicates,
     packing,
     quality_rules,
     toxicity,
@@ -56,3 +57,8 @@ def op7_url_filter(spark, sf_dir):
 def op4_decontamination(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return decontamination.leaks(documents, table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_near_duplicates(spark, sf_dir):
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
