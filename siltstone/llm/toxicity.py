@@ -81,7 +81,7 @@ class Distances:
         def of(found: set[bytes]) -> list[int]:
             if len(known) > CACHED_WINDOWS:
                 known.clear()
-            for window in found - known.keys():
+            for window in found.difference(known):
                 known[window] = distance(window)
             return [known[w] for w in found]
 
