@@ -2,6 +2,7 @@
 
 from siltstone.llm import (
     decontamination,
+    hmm_score,
     html_text,
     licenses,
     near_duplicates,
@@ -62,3 +63,8 @@ def op4_decontamination(spark, sf_dir):
 @query
 def op1_near_duplicates(spark, sf_dir):
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_hmm_score(spark, sf_dir):
+    return hmm_score.score(table(spark, sf_dir, "documents"))
