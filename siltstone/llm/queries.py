@@ -1,6 +1,7 @@
 """The ten operators over the given tables, with production parameters."""
 
 from siltstone.llm import (
+    cotraining,
     decontamination,
     hmm_score,
     html_text,
@@ -68,3 +69,9 @@ def op1_near_duplicates(spark, sf_dir):
 @query
 def op8_hmm_score(spark, sf_dir):
     return hmm_score.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_cotraining(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return cotraining.score(documents, table(spark, sf_dir, "labels"))
