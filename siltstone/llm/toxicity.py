@@ -259,3 +259,10 @@ def scored(documents: DataFrame, model: ToxicityModel) -> DataFrame:
 
     schema = "llm_top int, llm_beyond int, llm_score double"
     return map_rows(documents, rows, schema, keep=True)
+
+
+def filtered(documents: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The documents that are likelier ordinary, with their own columns only."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("llm_row")
+    found = scored(documents.select("text", whole), model)
+    return found.where("llm_score < 0.5").select("llm_row.*")
