@@ -58,13 +58,13 @@ def chart(
     by: Sequence[str] = (),
     *,
     order_by: Sequence[Column] = (),
-    rows: int = V.CHART_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Metrics per group in the given order, at most ``rows`` of them."""
+    """Metrics per group in the given order, at most ``rows`` of them if given."""
     grouped = mart.groupBy(*by).agg(*[metric(name) for name in metrics])
     if order_by:
         grouped = grouped.orderBy(*order_by)
-    return grouped.limit(rows) if by else grouped
+    return grouped if rows is None else grouped.limit(rows)
 
 
 def headline(mart: DataFrame, *names: str) -> DataFrame:
@@ -77,7 +77,7 @@ def _largest_first(by: str) -> list[Column]:
 
 
 def district_share(
-    mart: DataFrame, as_of: date | None = None, rows: int = V.SHARE_ROWS
+    mart: DataFrame, as_of: date | None = None, rows: int | None = V.SHARE_ROWS
 ) -> DataFrame:
     """Incidents per district and the share of those shown.
 
@@ -102,6 +102,7 @@ def monthly_series(
     *,
     since: date | datetime | None = None,
     until: date | datetime | None = None,
+    rows: int | None = V.CHART_ROWS,
 ) -> DataFrame:
     """Incidents per month: of complete months, or of a fixed range when given."""
     if since is None and until is None:
@@ -111,11 +112,12 @@ def monthly_series(
         ["total_incidents"],
         ["occ_month"],
         order_by=_largest_first("occ_month"),
+        rows=rows,
     )
 
 
 def top_types(
-    mart: DataFrame, as_of: date | None = None, rows: int = V.TOP_TYPES
+    mart: DataFrame, as_of: date | None = None, rows: int | None = V.TOP_TYPES
 ) -> DataFrame:
     """The types with most incidents, shown smallest first."""
     top = chart(
@@ -128,10 +130,13 @@ def top_types(
     return top.orderBy("total_incidents", F.desc("crime_type"))
 
 
-def incidents_by_district(mart: DataFrame, as_of: date | None = None) -> DataFrame:
+def incidents_by_district(
+    mart: DataFrame, as_of: date | None = None, rows: int | None = V.CHART_ROWS
+) -> DataFrame:
     return chart(
         complete_months(mart, as_of).filter(F.col("council_district").isNotNull()),
         ["total_incidents"],
         ["council_district"],
         order_by=_largest_first("council_district"),
+        rows=rows,
     )
