@@ -421,6 +421,13 @@ def partitioned_write(spark, sf_dir):
     return ranged.select(V.BUSINESS_KEY, "occ_date", "crime_type", "occ_year")
 
 
+@query
+def partitioned_rows(spark, sf_dir):
+    """Every row of the year folders, whatever its date."""
+    stored = _clean_by_year(spark, sf_dir)
+    return stored.select(V.BUSINESS_KEY, "occ_date", "crime_type", "occ_year")
+
+
 @query
 def partition_stats_by_year(spark, sf_dir):
     stats = partition_stats(_clean_by_year(spark, sf_dir), "occ_year")
