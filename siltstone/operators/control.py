@@ -64,16 +64,19 @@ def load_modes(
             F.count(F.lit(1)).alias("source_record_count"),
             F.count_if(changed).alias("_changed"),
             F.max(F.when(changed, F.col(updated_at))).alias("window_end"),
-            F.count("watermark_value").alias("_marked"),
         )
     )
-    count = F.when(F.col("_marked") > 0, F.col("_changed"))
+    # One row per dataset on both sides; a dataset may have no source rows.
+    windows = windows.join(known, dataset, "full_outer")
+    total = F.coalesce("source_record_count", F.lit(0))
+    found = F.coalesce("_changed", F.lit(0))
+    count = F.when(F.col("watermark_value").isNotNull(), found)
     return windows.select(
         dataset,
-        "source_record_count",
+        total.alias("source_record_count"),
         count.alias("changed_record_count"),
         "window_end",
-        load_mode_of(count, F.col("source_record_count")).alias("load_mode"),
+        load_mode_of(count, total).alias("load_mode"),
     )
 
 
@@ -115,7 +118,8 @@ def manifest_gate(
 ) -> DataFrame:
     """Verdict per batch: a SUCCESS manifest whose counts match what was read.
 
-    ``batch_counts`` holds ``actual_record_count`` per run.
+    ``batch_counts`` holds ``actual_record_count`` per run; a manifest without one
+    counts as a batch of no records.
     """
     expected, extracted, actual = (
         F.col(f"{name}_record_count") for name in ("expected", "extracted", "actual")
@@ -131,8 +135,9 @@ def manifest_gate(
                 F.lit(True).alias("_found"),
             ),
             run_id,
-            "left",
+            "full_outer",
         )
+        .withColumn("actual_record_count", F.coalesce(actual, F.lit(0)))
         .withColumn(
             "verdict",
             F.when(F.col("_found").isNull(), "MANIFEST_MISSING")

@@ -3,19 +3,19 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
-
-
 def salted_lookup(
-    rows: DataFrame, lookup: DataFrame, key: str, salts: int = SALTS
+    rows: DataFrame, lookup: DataFrame, key: str, salts: int | None = None
 ) -> DataFrame:
     """Left join of many rows to a small table that has one row per key.
 
     The adaptive planner leaves a skewed join alone when an aggregation by the same
     key follows. Here the rows of a key are spread over ``salts`` groups, by the
     partition they come from, and each group meets its own copy of the lookup row.
+    There are as many groups as shuffle partitions unless ``salts`` is given.
     The partition number holds for a repeated task too, unlike a random number.
     """
+    if salts is None:
+        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.spark_partition_id(), F.lit(salts))
     copies = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

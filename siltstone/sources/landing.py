@@ -51,12 +51,19 @@ def scan_batch(
 
 
 def scan_manifest(spark: SparkSession, prefix: str) -> DataFrame:
-    """The manifest of a batch as a one-row DataFrame, nested files included."""
-    return (
-        spark.read.schema(schemas.MANIFEST)
+    """The manifest of a batch as a one-row DataFrame, nested files included.
+
+    Key snapshots state what they landed as ``records_downloaded``.
+    """
+    other = "records_downloaded"
+    layout = T.StructType(list(schemas.MANIFEST.fields)).add(other, T.LongType())
+    found = (
+        spark.read.schema(layout)
         .option("multiLine", True)
         .json(f"{prefix.rstrip('/')}/{MANIFEST_FOLDER}*")
     )
+    landed = F.coalesce("extracted_record_count", other)
+    return found.withColumn("extracted_record_count", landed).drop(other)
 
 
 def scan_entries(spark: SparkSession, prefix: str) -> DataFrame:

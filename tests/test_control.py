@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from siltstone import values as V
 from siltstone.operators import control, quality, reconcile
 from siltstone.operators.quality import QualityError
 from siltstone.sources.landing import nested_entries
@@ -179,3 +180,22 @@ def test_model_checks(spark):
     less = spark.createDataFrame([(4,)], "incident_count int")
     assert rows(quality.totals_differ(more, less)) == [(5, 4)]
     assert rows(quality.totals_differ(more, more)) == []
+
+
+def test_gates_keep_datasets_and_manifests_without_rows(spark):
+    source = spark.createDataFrame([("a", "2024-01-02")], "dataset_id string, at string")
+    source = source.select("dataset_id", F.col("at").cast("timestamp").alias("at"))
+    marks = spark.sql(
+        "SELECT explode(array('a', 'b')) AS dataset_id,"
+        " timestamp'2024-01-01' AS watermark_value"
+    )
+    modes = control.load_modes(source, marks, "dataset_id", "at")
+    found = {r["dataset_id"]: (r["load_mode"], r["source_record_count"]) for r in modes.collect()}
+    assert found == {"a": (V.FULL_SNAPSHOT, 1), "b": (V.NO_CHANGES, 0)}
+    manifests = spark.sql(
+        "SELECT 'run' AS run_id, 'SUCCESS' AS status, 7L AS expected_record_count,"
+        " 7L AS extracted_record_count"
+    )
+    counts = spark.sql("SELECT 'x' AS run_id, 1L AS actual_record_count").limit(0)
+    verdicts = control.manifest_gate(manifests, counts).collect()
+    assert [(r["verdict"], r["actual_record_count"]) for r in verdicts] == [(V.COUNT_MISMATCH, 0)]
