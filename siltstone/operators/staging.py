@@ -93,6 +93,11 @@ def missing_keys(
     )
 
 
+def unparsable_times(df: DataFrame, updated_at: str = V.UPDATED_AT) -> DataFrame:
+    """Rows whose update time is there but is not an instant."""
+    return df.filter(F.col(updated_at).isNotNull() & instant_of(df, updated_at).isNull())
+
+
 def batch_problems(profile: DataFrame, full_snapshot: bool) -> DataFrame:
     """The failed gates of a batch profile, one row each; empty when all passed."""
     one_per_key = F.lit(full_snapshot) & (F.col("duplicates_removed") > 0)

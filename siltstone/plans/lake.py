@@ -56,12 +56,20 @@ class Lake:
     def control_watermarks(self) -> DataFrame:
         return self.control(self.watermarks, schemas.WATERMARK)
 
-    def publish(self) -> list[str]:
-        """Name every existing table in the catalog, for SQL users."""
+    def publish(self, only_named: bool = False) -> list[str]:
+        """Name every existing table in the catalog, for SQL users.
+
+        A name shows the version that was the latest when it was given;
+        ``only_named`` renews the names that exist already.
+        """
         names = []
         for table in vars(self).values():
             if isinstance(table, VersionedTable) and table.exists():
                 namespace, name = table.path.split("/")[-2:]
+                if only_named and not self.spark.catalog.tableExists(
+                    f"{namespace}.{name}"
+                ):
+                    continue
                 ensure_namespace(self.spark, namespace)
                 publish(table, f"{namespace}.{name}")
                 names.append(f"{namespace}.{name}")

@@ -50,14 +50,20 @@ def load_base(
         ingested_at=ingested_at or datetime.now(timezone.utc),
         source_prefix=prefix,
     )
-    profile = check_batch(incoming, full_snapshot)
+    profile = check_batch(incoming, full_snapshot, compare)
     if full_snapshot:
         _require_manifest(lake, prefix, run_id, profile["incoming_count"])
     return apply_batch(lake, incoming, profile, full_snapshot, compare)
 
 
-def check_batch(incoming: DataFrame, full_snapshot: bool = False) -> Row:
+def check_batch(
+    incoming: DataFrame, full_snapshot: bool = False, compare: str = merge.TYPED
+) -> Row:
     """The counts of a staged batch; raises when a gate fails."""
+    if compare == merge.TYPED:
+        require_empty(
+            staging.unparsable_times(incoming), "Update times that are not instants."
+        )
     counts = staged(staging.batch_profile(incoming), "profile")
     require_empty(
         staging.batch_problems(counts, full_snapshot), "The batch is not loadable."
@@ -72,43 +78,47 @@ def apply_batch(
     full_snapshot: bool = False,
     compare: str = merge.TYPED,
 ) -> LoadReport:
-    """Deduplicate a checked batch, apply it, and verify the saved table."""
+    """Deduplicate a checked batch, write the new table, verify it, then commit it."""
     updates = staged(staging.dedupe_latest(incoming), "updates")
     bucketed = lake.bronze.buckets > 0
     small = not bucketed and merge.fits_broadcast(updates)
     merged = None
-    committed = True
+    written = None
     if full_snapshot or not lake.bronze.exists():
-        lake.bronze.replace(updates)
+        written = lake.bronze.write(updates)
     else:
         target = lake.bronze.read()
         merged = merge.merge_candidates(
             updates, target, compare=compare, small_updates=small
         ).count()
-        committed = merged > 0
-        if committed:
-            lake.bronze.replace(
+        if merged > 0:
+            written = lake.bronze.write(
                 merge.upsert(target, updates, compare=compare, small_updates=small),
                 keeps_buckets=bucketed,
             )
 
-    stored = lake.bronze.read()
+    if written is None:
+        stored, saved = lake.bronze.read(), lake.bronze.latest()["record_count"]
+    else:
+        stored = lake.spark.read.parquet(written)
+        saved = stored.count()
     require_empty(
         merge.unapplied_rows(updates, stored, compare=compare, small_updates=small),
         "Incoming records were not applied to the base table.",
     )
-    saved = lake.bronze.latest()["record_count"]
     if full_snapshot and saved != profile["deduplicated_count"]:
         raise QualityError(
             f"The base table holds {saved} records, the snapshot "
             f"{profile['deduplicated_count']}."
         )
+    if written is not None:
+        lake.bronze.commit(written)
     return LoadReport(
         incoming=profile["incoming_count"],
         deduplicated=profile["deduplicated_count"],
         merged=merged,
         saved=saved,
-        committed=committed,
+        committed=written is not None,
     )
 
 

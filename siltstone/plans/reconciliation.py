@@ -33,7 +33,9 @@ def land_source_keys(
     timed = source.withColumn("_time", instant_of(source, ":updated_at"))
     total = changes.source_summary(timed, "_time").first()
     prefix = landing.batch_path(landing_root, run_id)
-    keys = source.select(*schemas.RAW_KEYS.fieldNames())
+    # Rows that changed after the summary wait for the next reconciliation.
+    bounded = timed.filter(F.col("_time") <= F.lit(total["max_updated_at"]))
+    keys = bounded.select(*schemas.RAW_KEYS.fieldNames())
     landing.write_pages(keys, prefix, [V.BUSINESS_KEY, ":id"])
     pages = landing.scan_batch(spark, prefix, schemas.RAW_KEYS, json_lines=True)
     inventory = landing.page_inventory(pages)

@@ -99,18 +99,24 @@ def extract_changes(
     Decides the load mode first: no changes lands nothing, a suspicious bulk
     change is recorded and refused.
     """
-    marks = lake.control_watermarks()
-    timed = source.select(
-        F.lit(dataset_id).alias("dataset_id"),
-        instant_of(source, SOURCE_TIME).cast("timestamp").alias("updated_at"),
-    )
-    window = control.load_modes(timed, marks, "dataset_id", "updated_at").first()
-    if window is None or window["load_mode"] == control.REJECTED:
+    marks = lake.control_watermarks().filter(F.col("dataset_id") == dataset_id)
+    known = marks.first()
+    if known is None or known["watermark_value"] is None:
         raise ValueError(f"No watermark found for {dataset_id}.")
-    mode = window["load_mode"]
+    mark = known["watermark_value"]
+    changed = changes.change_window(source, mark, SOURCE_TIME)
+    counts = changed.select("record_count", _instant("max_updated_at")).first()
+    window = {
+        "source_record_count": source.count(),
+        "changed_record_count": counts["record_count"],
+        "window_end": _with_zone(counts["max_updated_at"]),
+    }
+    mode = control.choose_load_mode(
+        window["changed_record_count"], window["source_record_count"]
+    )
     if mode in (V.NO_CHANGES, V.REVIEW_REQUIRED):
-        return _record_outcome(lake, timed, marks, dataset_id)
-    mark = marks.filter(F.col("dataset_id") == dataset_id).first()["watermark_value"]
+        decided = {k: F.lit(v) for k, v in window.items()} | {"load_mode": F.lit(mode)}
+        return _record_outcome(lake, lake.spark.range(1).withColumns(decided), dataset_id)
     prefix = landing.batch_path(landing_root, run_id)
     ids = _open_run(lake, mode, dataset_id, prefix)
     manifest = _land_batch(
@@ -141,8 +147,16 @@ def extract_changes(
     }
 
 
-def _record_outcome(lake: Lake, timed, marks, dataset_id: str) -> dict:
-    modes = control.load_modes(timed, marks, "dataset_id", "updated_at")
+def _with_zone(moment: datetime | None) -> datetime | None:
+    """Spark hands out instants without a zone, in the zone of this process."""
+    return None if moment is None else moment.astimezone(timezone.utc)
+
+
+def _instant(name: str):
+    return F.col(name).cast("timestamp").alias(name)
+
+
+def _record_outcome(lake: Lake, modes: DataFrame, dataset_id: str) -> dict:
     outcome = control.run_outcomes(modes).first()
     ids = {"pipeline_run_id": str(uuid.uuid4()), "extract_batch_id": str(uuid.uuid4())}
     now = datetime.now(timezone.utc)
@@ -227,6 +241,9 @@ def finish_run(lake: Lake, run_id: str, dataset_id: str, window_end: datetime) -
     """Advance the watermark and close the run; a repeated call changes nothing."""
     if not run_id or window_end is None:
         raise ValueError("A run id and a window end are required.")
+    uuid.UUID(run_id)
+    if window_end.tzinfo is None:
+        raise ValueError("The window end needs a time zone.")
     request = lake.spark.range(1).select(
         F.lit(run_id).alias("pipeline_run_id"),
         F.lit(dataset_id).alias("dataset_id"),
@@ -306,12 +323,18 @@ def daily_load(
             json_lines=True,
         )
         _build_and_validate(lake)
-        finished = finish_run(
-            lake, batch["pipeline_run_id"], dataset_id, batch["window_end"]
-        )
     except Exception as error:
         mark_failed(lake, batch["pipeline_run_id"], PROCESSING_FAILURE, str(error))
         raise
+    # Outside the handler: a run whose watermark has moved must not become FAILED.
+    # Repeating finish_run after a failure in here closes it.
+    finished = finish_run(
+        lake,
+        batch["pipeline_run_id"],
+        dataset_id,
+        batch["window_end"],
+    )
+    lake.publish(only_named=True)
     return {**batch, **finished, "load": report}
 
 
@@ -361,7 +384,13 @@ def bootstrap(
         )
     )
     mark = lake.control_watermarks().filter(F.col("dataset_id") == dataset_id).first()
-    finish_run(lake, ids["pipeline_run_id"], dataset_id, mark["watermark_value"])
+    finish_run(
+        lake,
+        ids["pipeline_run_id"],
+        dataset_id,
+        _with_zone(mark["watermark_value"]),
+    )
+    lake.publish(only_named=True)
     return {**ids, "run_id": run_id, "prefix": prefix, "load": report}
 
 

@@ -17,6 +17,7 @@ def build_session(app_name: str = "siltstone", **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.legacy.timeParserPolicy", "CORRECTED")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -39,6 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(SHARED_DIR_CONF, None)
     if named:
         return named.rstrip("/")
+    chosen = spark.sparkContext.getCheckpointDir()
+    if chosen:
+        return chosen.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
         return _local_dir()
     raise ValueError(f"Set {SHARED_DIR_CONF} to a folder all executors share.")

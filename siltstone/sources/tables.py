@@ -142,7 +142,25 @@ class VersionedTable:
         year_column: str | None = None,
         keeps_buckets: bool = False,
     ) -> int:
-        """Make ``df`` the content of the table; returns the rows written.
+        """Make ``df`` the content of the table; returns the rows written."""
+        return self.commit(
+            self.write(
+                df,
+                year_of=year_of,
+                year_column=year_column,
+                keeps_buckets=keeps_buckets,
+            )
+        )
+
+    def write(
+        self,
+        df: DataFrame,
+        *,
+        year_of: str | None = None,
+        year_column: str | None = None,
+        keeps_buckets: bool = False,
+    ) -> str:
+        """Write ``df`` as a folder that no reader sees before ``commit``.
 
         ``keeps_buckets`` says that ``df`` comes out of a join of this table on its
         key: each task then holds one bucket already and nothing is shuffled.
@@ -165,6 +183,12 @@ class VersionedTable:
             df.write.parquet(folder)
         else:
             write_by_year(df, folder, year_of, year_column or f"{year_of}_year")
+        return folder
+
+    def commit(self, folder: str) -> int:
+        """Make a written folder the content of the table; returns its rows."""
+        previous = self.latest()
+        version = 1 if previous is None else previous["version"] + 1
         # Counted from the files rather than while writing: lost and repeated
         # tasks cannot distort it, and Parquet answers it from the footers.
         rows = self.spark.read.parquet(folder).count()

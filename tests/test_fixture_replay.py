@@ -9,7 +9,7 @@ from siltstone import values as V
 from siltstone.operators.quality import QualityError
 from siltstone.plans.lake import Lake
 from siltstone.plans.layers import LoadReport, load_base
-from siltstone.sources.landing import scan_batch
+from siltstone.sources.landing import scan_batch, scan_manifest
 
 FIELDS = [":id", ":version", ":created_at", ":updated_at", V.BUSINESS_KEY, "crime_type"]
 FIRST = "2026-08-01T12:00:00.000Z"
@@ -120,3 +120,30 @@ def test_inferred_and_extra_columns(spark, tmp_path):
     inferred = scan_batch(spark, prefix, schema=None)
     assert set(inferred.columns) == set(declared.columns) - {"not_there"}
     assert dict(inferred.dtypes)[":version"] == "string"
+
+
+def test_unparsable_times_are_refused_before_a_commit(spark, tmp_path, lake):
+    load(lake, land(tmp_path / "raw", "fixture_initial", INITIAL), "fixture_initial")
+    broken = ("r", "1", FIRST, "not a time", "FIXTURE-900", "THEFT")
+    prefix = land(tmp_path / "raw", "broken", [broken])
+    with pytest.raises(QualityError, match="not instants"):
+        load(lake, prefix, "broken")
+    assert lake.bronze.history().count() == 1
+    loaded = load(lake, prefix, "broken", compare="text")
+    assert loaded == LoadReport(1, 1, 1, 3, True)
+
+
+def test_names_show_the_latest_version(spark, tmp_path, lake):
+    load(lake, land(tmp_path / "raw", "fixture_initial", INITIAL), "fixture_initial")
+    names = lake.publish()
+    load(lake, land(tmp_path / "raw", "more", INCREMENTAL), "more")
+    lake.publish(only_named=True)
+    assert [spark.table(n).count() for n in names] == [3]
+
+
+def test_both_manifest_layouts(spark, tmp_path):
+    for name in ("extracted_record_count", "records_downloaded"):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "manifest.json").write_text(json.dumps({"status": "SUCCESS", name: 7}))
+        assert scan_manifest(spark, str(folder)).first()["extracted_record_count"] == 7

@@ -1,6 +1,6 @@
 """Whole jobs on small lakes."""
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from conftest import rows
@@ -74,10 +74,15 @@ def test_daily_life_of_a_lake(lake, source):
         "object_path"
     ).distinct().count()
 
-    again = runs.finish_run(
-        lake, loaded["pipeline_run_id"], DATASET, mark["watermark_value"]
-    )
+    moved = mark["watermark_value"].astimezone(timezone.utc)
+    again = runs.finish_run(lake, loaded["pipeline_run_id"], DATASET, moved)
     assert again["already_finalized"]
+    with pytest.raises(ValueError, match="time zone"):
+        runs.finish_run(lake, loaded["pipeline_run_id"], DATASET, mark["watermark_value"])
+    with pytest.raises(ValueError, match="UUID"):
+        runs.finish_run(lake, "run", DATASET, moved)
+    nothing = runs.daily_load(lake, source.limit(0), **where(lake, "run-empty"))
+    assert nothing["load_mode"] == V.NO_CHANGES
 
     with pytest.raises(runs.ReviewRequired):
         runs.daily_load(lake, changed(source, 90, 2), **where(lake, "run-3"))
@@ -137,7 +142,9 @@ def test_failed_gate_leaves_watermark_and_marks_run(spark, sf_dir, tmp_path):
     with pytest.raises(ValueError, match="No watermark"):
         runs.extract_changes(lake, source, **where(lake, "run-1"))
     with pytest.raises(ValueError, match="RUN_NOT_FOUND"):
-        runs.finish_run(lake, "unknown", DATASET, datetime(2026, 1, 1))
+        unknown = "00000000-0000-0000-0000-000000000000"
+        moment = datetime(2026, 1, 1, tzinfo=timezone.utc)
+        runs.finish_run(lake, unknown, DATASET, moment)
     failed_again = runs.mark_failed(lake, run["pipeline_run_id"], "X", "again")
     assert failed_again["already_finalized"]
 
