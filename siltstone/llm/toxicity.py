@@ -35,7 +35,10 @@ CACHED_WINDOWS = 300_000
 #: Stands before every window and ends both dictionaries. It costs the same in both;
 #: without it zstandard would store a window of a few bytes as it is.
 ANCHOR = bytes(range(160, 224))
-LEVEL = 9
+#: Windows are compressed at the first level; those whose distance there is at least
+#: ``SUSPECT`` are measured at the second, which finds the shortest form and takes
+#: seven times as long. All others have distance 0.
+LEVELS, SUSPECT = (9, 19), 3
 #: Distance of a text without windows; windows beyond the threshold that count.
 LEAST, COUNTED = -20, 8
 #: Word pairs under so many permutations tell near copies among the fitted rows.
@@ -47,10 +50,12 @@ def _dictionary(samples: list[tuple[bytes, int]]) -> bytes:
     return content[-DICTIONARY_BYTES:] + ANCHOR
 
 
-def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
     # Without header fields, so a length is that of the window alone.
     params = zstandard.ZstdCompressionParameters.from_level(
-        LEVEL,
+        level,
+        source_size=100 if level == LEVELS[1] else 0,
+        dict_size=len(content) if level == LEVELS[1] else 0,
         format=zstandard.FORMAT_ZSTD1_MAGICLESS,
         write_content_size=False,
         write_checksum=False,
@@ -71,12 +76,20 @@ class Distances:
 
     def measurer(self):
         """For one task: the distances of a set of windows."""
-        toxic, ordinary = _compressor(self.toxic), _compressor(self.ordinary)
+        pairs = [
+            (_compressor(self.ordinary, level), _compressor(self.toxic, level))
+            for level in LEVELS
+        ]
         known: dict[bytes, int] = {}
 
         def distance(window: bytes) -> int:
             padded = ANCHOR + b" " + window + b" "
-            return len(ordinary.compress(padded)) - len(toxic.compress(padded))
+            gap = 0
+            for ordinary, toxic in pairs:
+                gap = len(ordinary.compress(padded)) - len(toxic.compress(padded))
+                if gap < SUSPECT:
+                    return 0
+            return gap
 
         def of(found: set[bytes]) -> list[int]:
             if len(known) > CACHED_WINDOWS:
