@@ -4,12 +4,14 @@ Shingles of five words, weighted by how often a text has them, send out points o
 Poisson process; each signature slot keeps the shingle whose point comes first, and
 a text stops as soon as no later point can change a slot. Texts that share a band of
 slots are candidates. In each bucket all members are compared with one leader, the
-member with most company over all buckets; pairs of members that then still lie in
-different classes are compared too, so no link is lost to the choice of leaders.
+member with most company over all buckets. Members that then still lie in different
+classes are compared by their signatures, block by block, and pairs that may reach
+the similarity are verified too, so no link is lost to the choice of leaders.
 Exact copies are one node from the start.
 """
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at the least similarity shares no band with probability 0.0006.
 BANDS, BAND_SLOTS = 40, 8
 SLOTS = BANDS * BAND_SLOTS
+#: A pair at the least similarity agrees on fewer slots with probability 0.00001.
+LEAST_AGREEMENT = 0.7
+#: Members of a bucket that are compared with as many others at a time.
+BLOCK_MEMBERS = 256
 CACHED_WORDS = 400_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -68,7 +74,7 @@ def signatures(hashes: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray
     slots = np.zeros((texts, SLOTS), np.uint64)
     sizes = [len(h) for h in hashes]
     element = np.concatenate([*hashes, np.empty(0, np.uint64)])
-    weight = 1 + np.log(np.concatenate([*counts, np.empty(0)]))
+    weight = 1 + np.log(np.concatenate([*counts, np.empty(0)])) / 8
     text = np.repeat(np.arange(texts), sizes)
     time = np.zeros(len(element))
     latest = np.full(texts, np.inf)
@@ -106,7 +112,10 @@ def _key():
 
 
 def _signed(texts: DataFrame) -> DataFrame:
-    """The columns but ``text``, with ``n`` shingles and ``buckets``."""
+    """The columns but ``text``, with ``n`` shingles, ``buckets`` and ``sketch``.
+
+    The sketch has the lowest byte of every slot.
+    """
     held: list = []
 
     def rows(batch):
@@ -117,9 +126,11 @@ def _signed(texts: DataFrame) -> DataFrame:
         values = _band_values(slots)
         sizes = [len(h) for h, _ in found]
         buckets = [v if n else [] for v, n in zip(values, sizes, strict=True)]
-        return {"n": sizes, "buckets": buckets}
+        sketches = [s.tobytes() for s in slots.astype(np.uint8)]
+        return {"n": sizes, "buckets": buckets, "sketch": sketches}
 
-    return map_rows(texts, rows, "n int, buckets array<long>", keep=True).drop("text")
+    schema = "n int, buckets array<long>, sketch binary"
+    return map_rows(texts, rows, schema, keep=True).drop("text")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -152,6 +163,49 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(both >= SIMILARITY * either).select("a", "b")
 
 
+def _agreeing(members: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of a bucket's members that agree on enough slots.
+
+    ``members`` has ``bucket, size, node, n, root, sketch``. Large buckets are cut
+    into blocks and every two blocks meet in a task of their own. A pair comes out of
+    the first bucket that both share, and only if the members lie in different
+    classes and their sizes allow the similarity.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    met = members.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    met = met.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf[pdf.own == pdf.low.iloc[0]]
+        second = pdf[pdf.own == pdf.high.iloc[0]]
+        whole, bands = [], []
+        for part in (first, second):
+            sketch = np.frombuffer(b"".join(part.sketch), np.uint8).reshape(-1, SLOTS)
+            whole.append(sketch)
+            bands.append(sketch.view(np.uint64).reshape(-1, BANDS))
+        place = pdf.band.iloc[0]
+        found = []
+        for i in range(len(first)):
+            row = first.iloc[i]
+            least = np.minimum(second.n.to_numpy(), row.n)
+            most = np.maximum(second.n.to_numpy(), row.n)
+            fits = (second.root.to_numpy() != row.root) & (least >= SIMILARITY * most)
+            if row.own == second.own.iloc[0]:
+                fits &= second.node.to_numpy() > row.node
+            spots = np.flatnonzero(fits)
+            equal = (whole[1][spots] == whole[0][i]).mean(axis=1)
+            spots = spots[equal >= LEAST_AGREEMENT]
+            shared = bands[1][spots] == bands[0][i]
+            spots = spots[~shared[:, :place].any(axis=1)]
+            found += [(row.node, n) for n in second.node.to_numpy()[spots]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return met.groupBy("bucket", "low", "high").applyInPandas(compare, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` of every linked node; the root is the smallest node reached.
 
@@ -193,10 +247,11 @@ def classes(documents: DataFrame) -> DataFrame:
     texts = documents.select("doc_id", _key(), F.coalesce("text", F.lit("")).alias("text"))
     signed = staged(_signed(texts), "minhash")
     nodes = signed.groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("buckets").alias("buckets")
+        F.min("doc_id").alias("rep"),
+        *(F.first(c).alias(c) for c in ("n", "buckets", "sketch")),
     )
     nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "minhash")
-    entries = nodes.select("node", "n", F.explode("buckets").alias("bucket"))
+    entries = nodes.select("node", "n", F.posexplode("buckets").alias("band", "bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("company")).where("company > 1")
     members = staged(entries.join(shared, "bucket"), "minhash")
     popular = members.groupBy("node").agg(F.sum("company").alias("popular"))
@@ -218,21 +273,16 @@ def classes(documents: DataFrame) -> DataFrame:
     links = staged(_verified(pairs, sets), "minhash")
     roots = components(links)
     # Members of a bucket that are still in different classes.
-    rooted = members.select("bucket", "node", "n").join(roots, "node", "left")
+    rooted = members.select("bucket", "band", "node", "n").join(roots, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("bucket").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")
-    )
-    open_buckets = mixed.where("low <> high").select("bucket")
-    rest = staged(rooted.join(open_buckets, "bucket"), "minhash")
-    one, two = rest.alias("one"), rest.alias("two")
-    crossing = one.join(
-        two,
-        (F.col("one.bucket") == F.col("two.bucket"))
-        & (F.col("one.root") < F.col("two.root"))
-        & _similar(F.col("one.n"), F.col("two.n")),
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.count("*").alias("size"),
     )
-    crossing = crossing.select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
+    open_buckets = mixed.where("low <> high").select("bucket", "size")
+    rest = rooted.join(open_buckets, "bucket").join(nodes.select("node", "sketch"), "node")
+    crossing = _agreeing(staged(rest, "minhash"))
     tried = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     crossing = staged(crossing.distinct().join(tried, ["a", "b"], "left_anti"), "minhash")
     more = staged(_verified(crossing, sets), "minhash")
