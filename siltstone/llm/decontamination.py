@@ -91,6 +91,7 @@ class Index:
             for x in self.impacts
         ]
         self.shingles = [item.shingles() for item in items]
+        self._essential()
 
     def retrieve(self, terms: list[int]) -> dict[int, float]:
         """Items with at least ``THRESHOLD``, by block-max WAND.
@@ -140,20 +141,56 @@ class Index:
             number = numbers[at] if at < len(numbers) else len(self.items)
         entry[0], entry[1] = number, at
 
+    def _essential(self) -> None:
+        """Part the terms so that common ones alone reach half the threshold nowhere.
+
+        ``rest`` is what the common terms give each item at most. Postings of the
+        others are laid out flat.
+        """
+        sizes = np.array([len(n) for n in self.numbers] + [0], np.int64)
+        flat = np.array([n for p in self.numbers for n in p], np.int64)
+        impacts = np.array([x for p in self.impacts for x in p])
+        terms = np.repeat(np.arange(len(sizes)), sizes)
+        most = 0
+        for most in [0, *sorted(set(sizes.tolist()))]:
+            common = sizes[terms] > most
+            self.rest = np.bincount(flat[common], impacts[common], len(self.items))
+            if self.rest.max(initial=0.0) <= THRESHOLD / 2:
+                break
+        self.is_essential = (sizes > 0) & (sizes <= most)
+        self.sizes, self.flat, self.weights = sizes, flat, impacts
+        self.begins = np.cumsum(sizes) - sizes
+
     def passages(self, words: list[bytes]):
-        """Starts and ends of the passages whose largest impacts reach the threshold."""
+        """Starts, ends and terms of the passages in which an item can reach the
+        threshold: by its essential terms that are there and all its common ones."""
         get, none = self.terms.get, len(self.terms)
         terms = np.array([get(w, none) for w in words], np.int64)
         stride = max(STRIDE, self.longest)
-        sums = np.concatenate([[0.0], np.cumsum(self.most[terms])])
         starts = np.arange(0, max(1, len(words) - stride), stride)
-        ends = np.minimum(starts + 2 * stride, len(words))
-        for at in np.flatnonzero(sums[ends] - sums[starts] >= THRESHOLD - 1e-9):
-            a, b = int(starts[at]), int(ends[at])
-            inside = set(terms[a:b].tolist())
-            inside.discard(none)
-            if self.most[list(inside)].sum() >= THRESHOLD - 1e-9:
-                yield a, b, inside
+        places = np.flatnonzero(self.is_essential[terms])
+        # A word lies in the passage that starts before it and in the one before.
+        last = np.minimum(places // stride, len(starts) - 1)
+        before = places // stride - 1
+        inside = before >= 0
+        inside &= before < last
+        pairs = np.concatenate(
+            [last * (none + 1) + terms[places], (before * (none + 1) + terms[places])[inside]]
+        )
+        passage, term = np.divmod(np.unique(pairs), none + 1)
+        sizes = self.sizes[term]
+        spots = np.repeat(self.begins[term] - (np.cumsum(sizes) - sizes), sizes)
+        spots += np.arange(len(spots))
+        keys = np.repeat(passage, sizes) * len(self.items) + self.flat[spots]
+        keys, inverse = np.unique(keys, return_inverse=True)
+        sums = np.bincount(inverse, self.weights[spots], len(keys))
+        bounds = sums + self.rest[keys % len(self.items)]
+        for at in np.unique(keys[bounds >= THRESHOLD - 1e-9] // len(self.items)):
+            a = int(starts[at])
+            b = min(a + 2 * stride, len(words))
+            found = set(terms[a:b].tolist())
+            found.discard(none)
+            yield a, b, found
 
     def leaks(self, text: bytes) -> list[dict]:
         """Verified items of a text, each with its best passage."""
