@@ -46,12 +46,3 @@ def shared_dir(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return _local_dir()
     raise ValueError(f"Set {SHARED_DIR_CONF} to a folder all executors share.")
-
-
-def cut_lineage(df):
-    """Reliable checkpoint: the rows survive the loss of executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)

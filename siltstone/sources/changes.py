@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.parsing import instant_of
 from siltstone.functions.predicates import within
-from siltstone.session import cut_lineage
 from siltstone import values as V
+from siltstone.sources.tables import staged
 
 
 def source_summary(source: DataFrame, updated_at: str = V.UPDATED_AT) -> DataFrame:
@@ -38,12 +38,13 @@ def number_pages(
     """Adds ``page_number`` by position in the global order, without one big task.
 
     The rows are range-partitioned and sorted once and written to the shared
-    checkpoint folder. An id that is unique per partition then gives each row its
+    folder. An id that is unique per partition then gives each row its
     position inside its partition, and the partition sizes (one row per
     partition) give each partition its start.
     """
-    ordered = cut_lineage(
-        rows.orderBy(*order_by).withColumn("_id", F.monotonically_increasing_id())
+    ordered = staged(
+        rows.orderBy(*order_by).withColumn("_id", F.monotonically_increasing_id()),
+        "pages",
     )
     part = F.shiftrightunsigned("_id", 33)
     place = F.col("_id").bitwiseAND((1 << 33) - 1)
