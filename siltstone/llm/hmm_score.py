@@ -49,6 +49,12 @@ CODED = (
 )
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Chunks one by one: a chunk's words are many Python objects."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def held_out(doc_id: int | None) -> bool:
     text = b"" if doc_id is None else str(doc_id).encode()
     return zlib.crc32(text) % MODULUS == HELD_OUT
@@ -144,7 +150,7 @@ def _coder(vocab: Vocabulary):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 words = row["words"]
                 counts = np.zeros(len(words))
                 counts[np.array(row["places"], np.int64)] = row["totals"]
@@ -276,7 +282,7 @@ def _seeded(coded: DataFrame, shares: np.ndarray) -> Model:
 
     def propose(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 classes, lengths = _trained(row)
                 starts = np.cumsum(lengths) - lengths
                 orders = [
@@ -325,7 +331,7 @@ def _improved(coded: DataFrame, model: Model, shares: np.ndarray) -> Model:
     def run(batches):
         total = 0.0
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 total = total + expected_counts(shared.value, *_trained(row))
         if isinstance(total, np.ndarray):
             made = {"numbers": [total]}
@@ -378,7 +384,7 @@ def score(documents: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 lengths = np.array(row["lengths"], np.int64)
                 classes = np.frombuffer(row["classes"], "<u2")
                 by_states = log_likelihoods(shared.value, classes, lengths)
