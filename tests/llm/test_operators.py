@@ -279,9 +279,9 @@ def test_quality_measures(spark, sf_dir, odd):
 def test_quality_agrees_with_labels(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = quality_rules.judge(documents).where("NOT base_failed").join(labels, "doc_id")
-    wrong = [r for r in rows.collect() if r["kept"] != (labels is not None and r.asDict()["kept"])]
-    assert not wrong
+    judged = quality_rules.judge(documents).where("NOT base_failed").select("doc_id", "kept")
+    known = judged.join(labels.withColumnRenamed("quality", "label"), "doc_id").collect()
+    assert np.mean([r["kept"] == (r["label"] == 1) for r in known]) > 0.9
     assert quality_rules.filtered(documents).columns == documents.columns
 
 
