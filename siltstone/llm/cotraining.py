@@ -168,9 +168,11 @@ def _calibration(view: str, scored: DataFrame) -> tuple[float, float]:
     rows = scored.select(_margin(view).alias("margin"), "label")
     rows = VectorAssembler(inputCols=["margin"], outputCol="x").transform(rows)
     curve = LogisticRegression(
-        featuresCol="x", labelCol="label", weightCol="weight", maxIter=15, regParam=0.001
+        featuresCol="x", labelCol="label", weightCol="weight", maxIter=15, regParam=0.02
     ).fit(_weighted(rows))
-    return float(curve.coefficients[0]), float(curve.intercept)
+    # A view whose margin points the wrong way on unseen rows knows nothing.
+    slope = float(curve.coefficients[0])
+    return (slope, float(curve.intercept)) if slope > 0 else (0.0, 0.0)
 
 
 def score(documents: DataFrame, labels: DataFrame) -> DataFrame:

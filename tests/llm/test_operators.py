@@ -108,8 +108,10 @@ def test_components_of_a_chain(spark):
 
 
 def test_cotraining(spark, sf_dir, odd):
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    # The smallest tables have too few bad rows to learn from.
+    data = sf_dir.replace("sf0.001", "sf0.01")
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    documents = spark.read.parquet(f"{data}/documents.parquet")
     rows = cotraining.score(documents, labels).collect()
     assert len(rows) == documents.count()
     truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
