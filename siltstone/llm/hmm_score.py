@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +29,9 @@ COMMON, SHARED = 2000, 256
 CLASSES = COMMON + SHARED
 ENDING = 3
 #: Bytes of text in a chunk; a longer text is a chunk by itself.
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 5_000_000
 #: Tokens whose forward variables are held at a time.
-GROUP_TOKENS = 400_000
+GROUP_TOKENS = 200_000
 #: Training texts that give the first emissions, at most; a chunk proposes so many.
 SEED_TEXTS, CHUNK_SEEDS = 1000, 50
 #: Weight of the corpus-wide class shares in each state's emissions.
@@ -49,6 +50,14 @@ CODED = (
 )
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(numbers.tobytes())
+
+
+def _unpacked(content: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(content), kind)
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     """Chunks one by one: a chunk's words are many Python objects."""
     for i in range(batch.num_rows):
@@ -69,10 +78,15 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row() -> pa.RecordBatch:
         held = [held_out(i) for i in ids]
         codes = np.concatenate(tokens)
+        # Common words get small numbers, which pack well.
+        order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+        ranks = np.empty(len(words), "<i4")
+        ranks[order] = np.arange(len(words))
+        codes, ordered = ranks[codes], list(words)
         trained = codes[np.repeat(~np.array(held), lengths)]
         counts = np.bincount(trained, minlength=len(words)).astype(np.int32)
-        columns = [[made], [ids], [held], [lengths], [codes.tobytes()]]
-        columns += [[list(words)], [counts]]
+        columns = [[made], [ids], [held], [lengths], [_packed(codes)]]
+        columns += [[[ordered[i] for i in order.tolist()]], [counts]]
         types = [
             pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()),
             pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()),
@@ -158,10 +172,10 @@ def _coder(vocab: Vocabulary):
                 mass = vocab.class_totals[classes] + vocab.class_distinct[classes] + 1
                 within = np.where(classes < COMMON, 0.0, np.log10((counts + 1) / mass))
                 base = np.log10((counts + 1) / unseen)
-                codes = np.frombuffer(row["tokens"], "<i4")
+                codes = _unpacked(row["tokens"], "<i4")
                 starts = np.cumsum(row["lengths"]) - row["lengths"]
                 columns = {
-                    "classes": [classes[codes].tobytes()],
+                    "classes": [_packed(classes[codes])],
                     "within": [np.add.reduceat(within[codes], starts)],
                     "base": [np.add.reduceat(base[codes], starts)],
                     "known": [np.add.reduceat((counts > 0)[codes].astype(np.int64), starts)],
@@ -273,7 +287,7 @@ def _trained(row) -> tuple[np.ndarray, np.ndarray]:
     """Classes and lengths of a chunk's training texts."""
     lengths = np.array(row["lengths"], np.int64)
     train = ~np.array(row["held"], bool)
-    classes = np.frombuffer(row["classes"], "<u2")
+    classes = _unpacked(row["classes"], "<u2")
     return classes[np.repeat(train, lengths)], lengths[train]
 
 
@@ -386,7 +400,7 @@ def score(documents: DataFrame) -> DataFrame:
         for batch in batches:
             for row in _rows(batch):
                 lengths = np.array(row["lengths"], np.int64)
-                classes = np.frombuffer(row["classes"], "<u2")
+                classes = _unpacked(row["classes"], "<u2")
                 by_states = log_likelihoods(shared.value, classes, lengths)
                 made = {
                     "doc_id": row["doc_ids"],
