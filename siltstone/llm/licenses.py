@@ -51,6 +51,7 @@ def _rules() -> list[dict]:
                 "label": label,
                 "priority": priority,
                 "weight": weight,
+                "needs": [x for x in w.split() if x.isalnum()],
                 "pattern": _pattern(w),
             }
             for w in wordings
@@ -194,7 +195,7 @@ def _rules() -> list[dict]:
 RULES = _rules()
 RULE_TYPE = (
     "array<struct<rule: int, keyword: string, label: string, priority: int,"
-    " weight: double, pattern: string>>"
+    " weight: double, needs: array<string>, pattern: string>>"
 )
 
 
@@ -213,12 +214,6 @@ def _word_count(words: Column) -> Column:
 def _detections(words: Column) -> Column:
     """Each place of each gated rule, as ``rule, label, priority, weight, start, end``."""
     rules = F.from_json(F.lit(json.dumps(RULES)), RULE_TYPE)
-    keywords = sorted({r["keyword"] for r in RULES})
-    held = F.filter(
-        F.array(*map(F.lit, keywords)),
-        lambda k: F.contains(words, F.concat(F.lit(" "), k, F.lit(" "))),
-    )
-
     def places(rule: Column) -> Column:
         # What stands between the matches tells where each of them starts.
         between = F.transform(F.split(words, rule["pattern"]), _word_count)
@@ -237,7 +232,13 @@ def _detections(words: Column) -> Column:
             ),
         )
 
-    gated = F.filter(rules, lambda r: F.array_contains(held, r["keyword"]))
+    def gate(rule: Column) -> Column:
+        """Keyword first, then the words without which the pattern cannot match."""
+        spaced = lambda w: F.concat(F.lit(" "), w, F.lit(" "))
+        needed = F.forall(rule["needs"], lambda w: F.contains(words, spaced(w)))
+        return F.contains(words, spaced(rule["keyword"])) & needed
+
+    gated = F.filter(rules, gate)
     return F.flatten(F.transform(gated, places))
 
 
@@ -287,7 +288,7 @@ def scan(documents: DataFrame) -> DataFrame:
         labels.append(F.when(number > 0, F.lit(label)))
     gate = sorted({r["keyword"] for r in RULES})
     gated = words.rlike(f" (?:{'|'.join(gate)}) ")
-    found = F.when(gated, _kept(_detections(words))).otherwise(
+    found = F.when(gated, _detections(words)).otherwise(
         F.from_json(F.lit("[]"), DETECTION_TYPE)
     )
     scanned = base.select(
@@ -297,8 +298,8 @@ def scan(documents: DataFrame) -> DataFrame:
         F.least(*firsts).alias("first_word"),
         F.greatest(*lasts).alias("last_word"),
         F.array_compact(F.array(*labels)).alias("base"),
-        found.alias("detections"),
-    )
+        found.alias("found"),
+    ).withColumn("detections", _kept(F.col("found")))
     doubt = F.aggregate(
         "detections", F.lit(1.0), lambda a, d: a * (1.0 - d["weight"])
     )
