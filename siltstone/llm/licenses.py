@@ -8,6 +8,7 @@ suppressed.
 """
 
 import json
+import re
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ PHRASES = {
     "general public license": "gpl",
 }
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A choice or an optional part of a wording.
+CHOICE = re.compile(r"\([^)]*\)\??")
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -51,7 +54,7 @@ def _rules() -> list[dict]:
                 "label": label,
                 "priority": priority,
                 "weight": weight,
-                "needs": [x for x in w.split() if x.isalnum()],
+                "needs": [x for x in CHOICE.sub(" ", w).split() if x.isalnum()],
                 "pattern": _pattern(w),
             }
             for w in wordings
