@@ -176,6 +176,34 @@ def test_evolution_beats_its_start():
     assert all(sum(lengths[i] for i in b) <= 2048 for b in best)
 
 
+def test_blocks_keep_their_bound(spark, monkeypatch):
+    """Pieces that never fill a bin go on from level to level, not into one block."""
+    rng = np.random.default_rng(3)
+    lengths = [1100] * 700 + rng.integers(20, 400, 1300).tolist()
+    rows = [(i, 0, 0, int(n), 0) for i, n in enumerate(lengths)]
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    monkeypatch.setattr(packing, "pieces", lambda *_: spark.createDataFrame(rows, schema))
+    monkeypatch.setattr(packing, "BLOCK_PIECES", 100)
+    sizes, pack_blocks = [], packing._pack_blocks
+
+    def watched(*args):
+        made = pack_blocks(*args)
+        sizes.append(max(r["count"] for r in made.groupBy("block").count().collect()))
+        return made
+
+    monkeypatch.setattr(packing, "_pack_blocks", watched)
+    packed = packing.pack(spark.createDataFrame([], "doc_id long, text string")).collect()
+    assert len(sizes) > 1 and max(sizes) < 200
+    assert sorted(r["doc_id"] for r in packed) == list(range(2000))
+    fills = defaultdict(int)
+    for r in sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == fills[r["sequence_id"]]
+        fills[r["sequence_id"]] += r["length"]
+    assert max(fills.values()) <= 2048
+    whole = packing._best_fit(list(range(2000)), lengths, [], 2048)
+    assert len(fills) <= 1.03 * len(whole)
+
+
 # 4
 
 
