@@ -41,8 +41,9 @@ ANCHOR = bytes(range(160, 224))
 LEVELS, SUSPECT = (9, 19), 3
 #: Distance of a text without windows; windows beyond the threshold that count.
 LEAST, COUNTED = -20, 8
-#: Word pairs under so many permutations tell near copies among the fitted rows.
-COPY_HASHES = 4
+#: Fitted rows that agree in all hashes of some band are compared; those that share
+#: so much of their word pairs (Jaccard) are copies.
+BANDS, BAND_HASHES, COPY_SIMILARITY = 16, 3, 0.5
 
 def _dictionary(samples: list[tuple[bytes, int]]) -> bytes:
     ordered = [w for w, _ in sorted(samples, key=lambda s: (s[1], s[0]))]
@@ -106,6 +107,8 @@ class ToxicityModel:
     distances: Distances
     threshold: int
     weights: tuple[float, float, float]
+    #: Ordinary and toxic rows that it was fitted on, without copies.
+    rows: tuple[int, int]
 
     def probability(self, top: np.ndarray, beyond: np.ndarray) -> np.ndarray:
         constant, *slopes = self.weights
@@ -147,40 +150,55 @@ def labelled(documents: DataFrame, labels: DataFrame, held_out: int) -> DataFram
 def _fitted_rows(sample: DataFrame) -> DataFrame:
     """``toxic, windows`` of the fitted rows, near copies taken once.
 
-    Rows that share the smallest hash of a word pair under some permutation count
-    as copies: hundreds of copies of one text would make its own words look like
-    marks.
+    Hundreds of copies of one text would make its own words look like marks. In each
+    band, rows with the same hashes are compared with the first of them; a row is a
+    copy if it has its class and shares ``COPY_SIMILARITY`` of its word pairs.
     """
-    hashes = [f"h{i}" for i in range(COPY_HASHES)]
 
     def rows(batch):
         words = [folded_words(t) for t in texts_of(batch["text"])]
-        made = {"toxic": batch["toxic"], "windows": [sorted(set(w)) for w in words]}
-        keys = [_pair_hashes(w) for w in words]
-        return made | {h: [k[i] for k in keys] for i, h in enumerate(hashes)}
-
-    numbers = ", ".join(f"{h} long" for h in hashes)
-    schema = f"toxic int, windows array<binary>, {numbers}"
+        pairs = [_pair_numbers(w) for w in words]
+        return {
+            "toxic": batch["toxic"],
+            "windows": [sorted(set(w)) for w in words],
+            "pairs": pairs,
+            "bands": [_bands(p) for p in pairs],
+        }
+
+    schema = "toxic int, windows array<binary>, pairs array<long>, bands array<long>"
     each = map_rows(sample.select("text", F.col("toxic").cast("int")), rows, schema)
     each = staged(each.withColumn("row", F.monotonically_increasing_id()), "toxicity")
-    kept = each.select("row", "toxic", *hashes)
-    for h in hashes:
-        rest = [x for x in hashes if x != h]
-        kept = (
-            kept.groupBy("toxic", h)
-            .agg(F.min(F.struct("row", *rest)).alias("first"))
-            .select("toxic", h, "first.*")
-        )
-    return each.join(kept.select("row"), "row", "left_semi").select("toxic", "windows")
+    banded = each.select("row", "toxic", F.posexplode("bands").alias("band", "hash"))
+    key = ["toxic", "band", "hash"]
+    firsts = banded.groupBy(*key).agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    # Written, so that the join with a hash of many rows can be split.
+    firsts = staged(firsts.where("n > 1").drop("n"), "toxicity")
+    like = banded.join(firsts, key).where("row > first").select("row", "first")
+    like = staged(staged(like, "toxicity").distinct(), "toxicity")
+    of_first = each.select(F.col("row").alias("first"), F.col("pairs").alias("others"))
+    both = like.join(each.select("row", "pairs"), "row").join(of_first, "first")
+    shared = F.size(F.array_intersect("pairs", "others"))
+    either = F.size("pairs") + F.size("others") - shared
+    copies = both.where(shared >= COPY_SIMILARITY * either).select("row")
+    copies = staged(copies, "toxicity")
+    return each.join(copies, "row", "left_anti").select("toxic", "windows")
+
+
+def _pair_numbers(words: list[bytes]) -> list[int]:
+    """A number for each distinct word pair, or one for the text if it has none."""
+    pairs = {zlib.crc32(a + b" " + b) for a, b in pairwise(words)}
+    return sorted(pairs or {zlib.crc32(b"".join(words))})
 
 
-def _pair_hashes(words: list[bytes]) -> list[int]:
-    pairs = {zlib.crc32(a + b" " + b) for a, b in pairwise(words)}
-    values = np.array(sorted(pairs or {zlib.crc32(b"".join(words))}), np.uint64)
-    return [
-        int(((values * np.uint64(m)) % np.uint64(4294967291)).min())
-        for m in (2654435761, 2246822519, 3266489917, 668265263)
-    ]
+def _bands(pairs: list[int]) -> list[int]:
+    rng = np.random.default_rng(11)
+    factors, terms = rng.integers(1, 2**31, (2, BANDS * BAND_HASHES), np.uint64)
+    least = np.full(BANDS * BAND_HASHES, 2**32, np.uint64)
+    for start in range(0, len(pairs), 4096):
+        values = np.array(pairs[start : start + 4096], np.uint64)[:, None]
+        hashed = (values * factors + terms) % np.uint64(4294967291)
+        least = np.minimum(least, hashed.min(axis=0))
+    return [zlib.crc32(x.tobytes()) for x in least.reshape(BANDS, BAND_HASHES)]
 
 
 def _window_counts(each: DataFrame) -> DataFrame:
@@ -207,7 +225,7 @@ def fit(documents: DataFrame, labels: DataFrame, held_out: int = 5) -> ToxicityM
     if not all(sizes.values()):
         sure = 30.0 if sizes[1] else -30.0
         nothing = Distances(_dictionary([]), _dictionary([]))
-        return ToxicityModel(nothing, 99, (sure, 0.0, 0.0))
+        return ToxicityModel(nothing, 99, (sure, 0.0, 0.0), (sizes[0], sizes[1]))
     counts = staged(_window_counts(each), "toxicity")
     rate = F.col("in_toxic") / sizes[1]
     base = (F.col("in_ordinary") + 0.5) / sizes[0]
@@ -233,7 +251,8 @@ def fit(documents: DataFrame, labels: DataFrame, held_out: int = 5) -> ToxicityM
     best = max(range(1, 16), key=parted)
     beyond = np.array([sum(x >= best for x in t) for t in found["tops"]], float)
     weights = _logistic(_features(top, beyond, best), y)
-    return ToxicityModel(distances, best, tuple(float(w) for w in weights))
+    fitted = sizes[0], sizes[1]
+    return ToxicityModel(distances, best, tuple(float(w) for w in weights), fitted)
 
 
 def _commonest(counts: DataFrame, column: str) -> list[tuple[bytes, int]]:

@@ -410,6 +410,18 @@ def test_toxicity(spark, sf_dir):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_only_copies_are_dropped(spark):
+    """Texts that share one common pair are fitted each, near copies once."""
+    rng = np.random.default_rng(4)
+    texts = [f"the of {' '.join(f'w{x}' for x in rng.integers(0, 10**9, 9))}" for _ in range(300)]
+    base = [f"c{x}" for x in range(100)]
+    near = [" ".join([*base[:i], "changed", *base[i + 1 :]]) for i in range(0, 100, 5)]
+    rows = [(0, t) for t in texts] + [(0, t) for t in near] + [(1, near[0]), (1, near[0]), (1, None)]
+    sample = spark.createDataFrame(rows, "toxic int, text string")
+    kept = Counter(r["toxic"] for r in toxicity._fitted_rows(sample).collect())
+    assert kept == {0: 301, 1: 2}
+
+
 def test_toxicity_without_labels(spark, odd):
     model = toxicity.fit(odd, spark.createDataFrame([], LABELS))
     rows = toxicity.score(odd, model).collect()
