@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.common import staged
+
 #: Host, path, verdict.
 RULES = (
     ("com", "/", "allow"),
@@ -22,8 +24,9 @@ RULES = (
 )
 #: Labelled URLs the trees are fitted on, at most: those with the lowest hash.
 FIT_ROWS = 8_000
-#: A suffix needs so many fitted URLs for a rate of its own.
-SUFFIX_ROWS = 20
+#: A suffix needs so many labelled URLs for a rate of its own. The rate of a labelled
+#: URL is that of the other folds.
+SUFFIX_ROWS, FOLDS = 20, 5
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 FEATURES = (
@@ -98,7 +101,6 @@ def features(judged: DataFrame) -> DataFrame:
     size = F.greatest(F.length(url), F.lit(1))
     return judged.withColumns(
         {
-            "suffix": F.substring_index(host, ".", -1),
             "url_length": F.length(url).cast("double"),
             "host_length": F.length(host).cast("double"),
             "path_length": F.length(path).cast("double"),
@@ -117,27 +119,54 @@ def features(judged: DataFrame) -> DataFrame:
     )
 
 
-def _with_suffixes(described: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """Suffix statistics of the fitted rows, so at most ``FIT_ROWS`` lines."""
-    joined = described.join(F.broadcast(suffixes), "suffix", "left")
-    return joined.fillna({"suffix_rate": 0.5, "suffix_share": 0.0})
+def with_suffixes(ruled: DataFrame) -> DataFrame:
+    """``ruled`` with ``suffix_rate`` and ``suffix_share``, each of all its rows.
+
+    The share is that among all pages, the rate that of block among all labelled
+    ones; without labelled ones it is a half.
+    """
+    url = F.coalesce(F.col("url"), F.lit(""))
+    placed = ruled.withColumns(
+        {
+            "suffix": F.substring_index("host", ".", -1),
+            "fold": F.pmod(F.xxhash64(url, F.lit("fold")), FOLDS).cast("int"),
+        }
+    )
+    each = [F.col("fold") == k for k in range(FOLDS)]
+    known, blocked = F.col("label").isNotNull(), F.col("label") == 1
+    suffixes = placed.groupBy("suffix").agg(
+        F.count("*").alias("pages"),
+        F.array(*(F.count_if(known & k) for k in each)).alias("known"),
+        F.array(*(F.count_if(blocked & k) for k in each)).alias("blocked"),
+    )
+    # Written, so that the join sees the size: few suffixes are broadcast, and the
+    # join with many can split a common one.
+    suffixes = staged(suffixes, "url_filter")
+    total = suffixes.agg(F.sum("pages")).first()[0] or 1
+
+    def others(name: str) -> Column:
+        whole = F.aggregate(name, F.lit(0).cast("long"), lambda a, x: a + x)
+        own = F.when(F.col("label").isNotNull(), F.get(F.col(name), F.col("fold")))
+        return whole - F.coalesce(own, F.lit(0))
+
+    rate = (others("blocked") + 0.5 * SUFFIX_ROWS) / (others("known") + SUFFIX_ROWS)
+    return (
+        placed.join(suffixes, "suffix")
+        .withColumns({"suffix_rate": rate, "suffix_share": F.col("pages") / total})
+        .drop("suffix", "fold", "pages", "known", "blocked")
+    )
 
 
-def fit(labelled: DataFrame) -> tuple[PipelineModel | None, DataFrame]:
-    """Trees and suffix statistics from ``FIT_ROWS`` of the labelled rows.
+def fit(described: DataFrame) -> PipelineModel | None:
+    """Trees from ``FIT_ROWS`` of the labelled rows.
 
     Labelled rows of one class only, or none, give no trees; ``judge`` then repeats
     that class, or allows.
     """
     order = [F.xxhash64("url"), "page_id"]
-    sample = labelled.select("page_id", "url", "host", "path", "label")
-    sample = features(sample.orderBy(*order).limit(FIT_ROWS)).persist()
-    number = F.greatest(F.count("*"), F.lit(1))
-    smooth = (F.sum("label") + 0.5 * SUFFIX_ROWS) / (number + SUFFIX_ROWS)
-    total = max(1, sample.count())
-    suffixes = sample.groupBy("suffix").agg(
-        smooth.alias("suffix_rate"), (number / total).alias("suffix_share")
-    )
+    labelled = described.where(F.col("label").isNotNull())
+    sample = labelled.orderBy(*order).limit(FIT_ROWS)
+    sample = features(sample).persist()
     classes = {r["label"] for r in sample.select("label").distinct().collect()}
     model = None
     if len(classes) == 2:
@@ -145,9 +174,9 @@ def fit(labelled: DataFrame) -> tuple[PipelineModel | None, DataFrame]:
         trees = GBTClassifier(
             labelCol="label", maxIter=10, maxDepth=4, seed=7, checkpointInterval=-1
         )
-        rows = assembler.transform(_with_suffixes(sample, suffixes)).coalesce(2)
+        rows = assembler.transform(sample).coalesce(2)
         model = PipelineModel([assembler, trees.fit(rows.select("features", "label"))])
-    return model, suffixes
+    return model
 
 
 def judge(pages: DataFrame) -> DataFrame:
@@ -159,9 +188,9 @@ def judge(pages: DataFrame) -> DataFrame:
     chosen = rule_of(F.col("host"), F.col("path"))
     ruled = parts(pages).withColumn("chosen", chosen)
     known = (F.col("chosen.verdict") == "block").cast("double")
-    labelled = ruled.where(F.col("chosen").isNotNull()).withColumn("label", known)
-    model, suffixes = fit(labelled)
-    described = _with_suffixes(features(ruled), suffixes)
+    placed = with_suffixes(ruled.withColumn("label", known))
+    model = fit(placed)
+    described = features(placed)
     if model is None:
         scored = described.withColumn("score", F.coalesce("suffix_rate", F.lit(0.0)))
     else:

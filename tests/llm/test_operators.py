@@ -347,6 +347,23 @@ def test_url_filter_without_labels(spark):
     assert [r["verdict"] for r in url_filter.judge(pages).collect()] in (["allow"], ["block"])
 
 
+def test_suffix_statistics_are_of_all_rows(spark, monkeypatch):
+    """Also of rows without a rule and of those the trees are not fitted on."""
+    monkeypatch.setattr(url_filter, "FIT_ROWS", 10)
+    given = [("org", None)] * 40 + [("net", 1.0)] * 100 + [("com", 0.0)] * 50 + [("net", None)] * 10
+    rows = [(i, f"a://h{i}.{s}/", f"h{i}.{s}", "/", y) for i, (s, y) in enumerate(given)]
+    ruled = spark.createDataFrame(rows, "page_id int, url string, host string, path string, label double")
+    found = {r["page_id"]: r for r in url_filter.with_suffixes(ruled).collect()}
+    assert len(found) == 200
+    for i, (suffix, label) in enumerate(given):
+        r = found[i]
+        assert r["suffix_share"] == {"org": 0.2, "net": 0.55, "com": 0.25}[suffix]
+        if label is None:
+            assert r["suffix_rate"] == {"org": 0.5, "net": 110 / 120}[suffix]
+        else:  # without the rows of its own fold
+            assert abs(r["suffix_rate"] - label) > 10 / (20 + given.count((suffix, label)))
+
+
 # 8
 
 
