@@ -1,5 +1,7 @@
-"""Compare a Spark result with the SQL twin, both as unordered rows."""
+"""Rows and plans of Spark results, and their comparison with the SQL twins."""
 
+import contextlib
+import io
 import math
 from pathlib import Path
 
@@ -45,3 +47,16 @@ def difference(spark_result, oracle_result, shown: int = 3) -> str | None:
     if wrong:
         return f"{len(wrong)} rows differ, e.g. {wrong[:shown]}"
     return None
+
+
+def plan(df):
+    """The physical plan as text."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
+def rows(df):
+    """Rows as a sorted list of tuples."""
+    return sorted((tuple(row) for row in df.collect()), key=repr)

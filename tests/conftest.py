@@ -1,5 +1,3 @@
-import contextlib
-import io
 import os
 import sys
 from pathlib import Path
@@ -45,16 +43,3 @@ def no_auto_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def plan(df):
-    """The physical plan as text."""
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain()
-    return text.getvalue()
-
-
-def rows(df):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(row) for row in df.collect()), key=repr)

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from compare import rows
 
 from siltstone import values as V
 from siltstone.operators.quality import QualityError

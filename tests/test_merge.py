@@ -1,6 +1,6 @@
 """Properties of the merge operators against a plain Python model."""
 
-from conftest import rows
+from compare import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -2,8 +2,7 @@
 
 import __spark_entry__
 import pytest
-from compare import connect, difference, sql_rows
-from conftest import plan
+from compare import connect, difference, plan, sql_rows
 
 from siltstone.registry.oracles import ORACLES
 from siltstone.registry.queries import QUERIES

@@ -3,7 +3,7 @@
 from datetime import datetime, timezone
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from siltstone import jobs, schemas

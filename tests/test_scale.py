@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from conftest import plan, rows
+from compare import plan, rows
 from pyspark.sql import functions as F
 
 from siltstone import values as V

@@ -1,6 +1,6 @@
 import json
 
-from conftest import rows
+from compare import rows
 from test_fixture_replay import FIRST, INCREMENTAL, INITIAL, land
 
 from siltstone import values as V
