@@ -1,0 +1,124 @@
+"""DuckDB SQL for the queries of this folder that SQL can express."""
+
+ORACLES = {}
+
+#: Conversations: CRC-32 by a table, then a recursion over rows and states that keeps
+#: the least (cost, letters) per state. The letters here are plain strings.
+ORACLES["op11_conversation_repair"] = r"""
+WITH RECURSIVE bits AS (
+  SELECT i, 0 AS k, i AS c FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1,
+         CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY i) AS steps FROM bits WHERE k = 8),
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(
+             string_split(coalesce(conv_id::VARCHAR, ' ') || ':'
+                          || coalesce(turn::VARCHAR, ' '), ''),
+             lambda x: ascii(x)::BIGINT)),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) % 20 AS kind
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+              ELSE text END AS text,
+         unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed
+), flagged AS (
+  SELECT *, left(role, 1) AS initial,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))
+           AS stripped,
+         row_number() OVER (PARTITION BY conv_id
+           ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS n
+  FROM damaged
+), judged AS (
+  SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY n) AS before,
+         CASE WHEN stripped = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1
+                THEN 'duplicate'
+              WHEN right(stripped, 1) NOT IN ('.', '!', '?') THEN 'truncated'
+              ELSE 'none' END AS fault
+  FROM flagged
+), counts AS (
+  SELECT conv_id,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (n > 1 AND before || initial NOT IN ('su', 'ua', 'au'))
+           AS illegal,
+         count(*) AS rows_left
+  FROM judged GROUP BY conv_id
+), moves(state, initial, target) AS (
+  VALUES ('e', 's', 's'), ('e', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'),
+         ('a', 'u', 'u')
+), inserts(state, landed, letters, cost) AS (
+  SELECT state, state, '', 0 FROM (VALUES ('e'), ('s'), ('u'), ('a')) v(state)
+  UNION ALL SELECT state, target, 'I', 5 FROM moves WHERE initial <> 's'
+  UNION ALL SELECT m.state, k.target, 'II', 10 FROM moves m
+  JOIN moves k ON k.state = m.target AND k.initial <> 's' WHERE m.initial <> 's'
+), search AS (
+  SELECT conv_id, 0::BIGINT AS n, 'e' AS state, {'cost': 0, 'letters': ''} AS path
+  FROM counts
+  UNION ALL
+  SELECT s.conv_id, s.n + 1, e.target,
+         min({'cost': s.path.cost + e.cost, 'letters': s.path.letters || e.letters})
+  FROM search s JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id
+                             AND j.n = s.n + 1,
+  LATERAL (
+    SELECT i.landed AS target, i.cost + 2 AS cost, i.letters || 'D' AS letters
+    FROM inserts i WHERE i.state = s.state
+    UNION ALL
+    SELECT m.target, i.cost + CASE WHEN o.letter = 'R' THEN 1 ELSE 0 END
+             + CASE WHEN j.fault = 'truncated' THEN 5 ELSE 0 END,
+           i.letters || o.letter
+    FROM inserts i JOIN moves m ON m.state = i.landed,
+         (VALUES ('K'), ('R')) o(letter)
+    WHERE i.state = s.state AND j.fault NOT IN ('blank', 'duplicate')
+      AND CASE WHEN o.letter = 'K' THEN m.initial = j.initial
+               ELSE m.initial <> 's' END
+  ) e
+  GROUP BY s.conv_id, s.n + 1, e.target
+), best AS (
+  SELECT c.conv_id,
+         min({'cost': s.path.cost + i.cost, 'letters': s.path.letters || i.letters})
+           AS path
+  FROM search s JOIN counts c ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+                             AND c.rows_left = s.n
+  JOIN inserts i ON i.state = s.state AND i.landed IN ('e', 'a')
+  GROUP BY c.conv_id
+), letters AS (
+  SELECT conv_id, p AS place, substr(path.letters, p::INT, 1) AS letter,
+         len(replace(left(path.letters, p::INT), 'I', '')) AS n
+  FROM best, LATERAL (SELECT unnest(range(1, len(path.letters) + 1)) AS p)
+), left_rows AS (
+  SELECT l.conv_id, l.place, l.letter, j.role, j.initial,
+         CASE WHEN l.letter = 'I' THEN '' ELSE j.text END AS text,
+         row_number() OVER (PARTITION BY l.conv_id ORDER BY l.place) AS spot
+  FROM letters l LEFT JOIN judged j
+    ON j.conv_id IS NOT DISTINCT FROM l.conv_id AND j.n = l.n AND l.letter <> 'I'
+  WHERE l.letter <> 'D'
+), starts AS (
+  SELECT *, max(CASE WHEN spot = 1 AND letter = 'K' AND initial = 's' THEN 1 ELSE 0 END)
+              OVER (PARTITION BY conv_id) AS shift
+  FROM left_rows
+), digests AS (
+  SELECT conv_id, sha256(string_agg(
+           CASE WHEN letter = 'K' THEN role
+                WHEN (spot - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END
+           || ':' || text, chr(10) ORDER BY spot)) AS digest
+  FROM starts GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank,
+       coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated,
+       coalesce(c.illegal, 0) AS illegal, coalesce(b.path.cost, 0)::BIGINT AS cost,
+       coalesce(b.path.letters, '') AS audit,
+       coalesce(d.digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN digests d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

@@ -1,6 +1,7 @@
-"""The ten operators over the given tables, with production parameters."""
+"""The operators over the given tables, with production parameters."""
 
 from siltstone.llm import (
+    conversation_repair,
     cotraining,
     decontamination,
     hmm_score,
@@ -13,9 +14,9 @@ from siltstone.llm import (
     url_filter,
 )
 from siltstone.llm.common import table
+from siltstone.llm.oracles import ORACLES
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(make):
@@ -75,3 +76,12 @@ def op8_hmm_score(spark, sf_dir):
 def op2_cotraining(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return cotraining.score(documents, table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(conversations))
+
+
+__all__ = ["ORACLES", "QUERIES"]
