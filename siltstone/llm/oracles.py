@@ -122,3 +122,98 @@ LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN digests d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+
+#: Mixing: one window over each source in place of buckets, and the level of the
+#: targets found among the sources in order of their cap for each weight.
+ORACLES["op12_source_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::DOUBLE AS size
+  FROM documents
+), drawn AS (
+  SELECT doc_id, source, size, md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(text)) AS h,
+         greatest(0.05::DOUBLE, size / (size + 20.0::DOUBLE) * (size / greatest(
+           1, size + length(text)
+             - length(regexp_replace(text, '[#*$%&|<>]', '', 'g'))))) AS quality
+  FROM sized
+), keyed AS (
+  SELECT *, -ln((('0x' || substr(h, 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496)
+            / quality AS key
+  FROM drawn
+), sources AS (
+  SELECT source, sum(size) AS words,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM keyed GROUP BY source
+), levels AS (
+  SELECT *, sum(words) OVER () AS everything, sum(weight) OVER () AS weights,
+         coalesce(sum(3 * words) OVER below, 0) AS held,
+         coalesce(sum(weight) OVER below, 0) AS gone
+  FROM sources
+  WINDOW below AS (ORDER BY words / weight, source NULLS LAST
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), share AS (
+  SELECT (everything - held) AS rest, weights - gone AS among FROM levels
+  WHERE 3 * words >= (everything - held) * weight / (weights - gone)
+  ORDER BY words / weight, source NULLS LAST LIMIT 1
+), planned AS (
+  SELECT source, words,
+         least(3 * words, rest * weight / among) AS target
+  FROM sources, share
+), placed AS (
+  SELECT k.doc_id, k.size, p.words, p.target, floor(p.target + 0.5) AS budget,
+         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY key, doc_id, h
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+  FROM keyed k JOIN planned p ON p.source IS NOT DISTINCT FROM k.source
+)
+SELECT doc_id, size::BIGINT AS size, words::BIGINT AS source_size, target,
+       (size * floor(budget / greatest(words, 1))
+        + greatest(0, least(size, budget % greatest(words, 1)::DOUBLE - earlier)))::BIGINT
+         AS taken
+FROM placed
+"""
+
+
+def _clustering(rounds: int, centroids: int) -> str:
+    """Rounds written out one after the other, every distance computed in full."""
+    text = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding,
+           lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE len(embedding) = 64 AND list_count(embedding) = 64
+    AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), e) - 1 AS cluster, e
+  FROM v QUALIFY cluster < {centroids}
+)"""
+    for r in range(rounds + 1):
+        text += f""",
+a{r} AS (
+  SELECT v.vec_id, min({{
+      'distance': list_sum(list_transform(list_zip(v.e, c.e),
+                    lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT,
+      'cluster': c.cluster}}) AS found, any_value(v.e) AS e
+  FROM v CROSS JOIN c{r} c GROUP BY v.vec_id
+)"""
+        if r < rounds:
+            text += f""",
+c{r + 1} AS (
+  SELECT c.cluster, coalesce(m.e, c.e) AS e
+  FROM c{r} c LEFT JOIN (
+    SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY place)::BIGINT[] AS e
+    FROM (SELECT cluster, place, sum(x) AS total, count(*) AS n
+          FROM (SELECT found.cluster AS cluster, unnest(e) AS x,
+                       unnest(range(64)) AS place FROM a{r})
+          GROUP BY ALL) GROUP BY cluster
+  ) m ON m.cluster = c.cluster
+)"""
+    return text + f"""
+SELECT a.vec_id, c.cluster::INT AS cluster, found.distance AS distance,
+       sum(found.distance) OVER (PARTITION BY c.cluster)::BIGINT AS cluster_inertia,
+       sum(found.distance) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.found.cluster
+"""
+
+
+ORACLES["op13_centroid_clustering"] = _clustering(rounds=5, centroids=40)

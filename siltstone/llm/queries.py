@@ -1,6 +1,7 @@
 """The operators over the given tables, with production parameters."""
 
 from siltstone.llm import (
+    centroid_clustering,
     conversation_repair,
     cotraining,
     decontamination,
@@ -10,6 +11,7 @@ from siltstone.llm import (
     near_duplicates,
     packing,
     quality_rules,
+    source_mixing,
     toxicity,
     url_filter,
 )
@@ -84,4 +86,15 @@ def op11_conversation_repair(spark, sf_dir):
     return conversation_repair.repair(conversation_repair.damage(conversations))
 
 
+@query
+def op12_source_mixing(spark, sf_dir):
+    return source_mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_centroid_clustering(spark, sf_dir):
+    assigned, centroids = centroid_clustering.cluster(table(spark, sf_dir, "embeddings"))
+    return centroid_clustering.with_inertia(assigned, centroids)
+
+
 __all__ = ["ORACLES", "QUERIES"]
