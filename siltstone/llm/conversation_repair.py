@@ -15,12 +15,12 @@ letters so far are replaced by their rank among the four states. That keeps ever
 comparison: prefixes over the same rows end in the letter of the same row, so none
 of two different ones continues the other, and their order decides whatever follows.
 
-Scale: repeated rows are counted before any shuffle, and only the first of equal
-(role, text) rows of a conversation carries its text further. A task then streams
-its conversations in order: first the rows without texts, which settle the path,
-then the texts. It holds the edit letters of one conversation (which its result has
-to hold anyway) and no texts. One conversation stays in one task, as the digest of
-its text is sequential.
+Scale: digests stand for texts where rows are counted and the first of equal (role,
+text) rows is sought, both combined before the shuffle. Texts are shuffled once. A
+task streams its conversations in order: first the rows without texts, which settle
+the path, then the texts in the same order. It holds the edit letters of one
+conversation (which its result has to hold anyway), a byte for each of its rows, and
+no texts. One conversation stays in one task, as the digest of its text is sequential.
 
 Odd rows: null text, role, conversation or turn count as one space where the rule
 reads them as text; a null turn comes first. Rows of the same turn follow each other
@@ -97,7 +97,7 @@ def damage(conversations: DataFrame) -> DataFrame:
 
 
 def _prepared(conversations: DataFrame) -> DataFrame:
-    """Rows without texts, then the first of equal rows with theirs, by conversation."""
+    """By conversation its rows without texts, then those that are not blank with them."""
     copies = F.col("copies") if "copies" in conversations.columns else F.lit(1)
     stripped = F.rtrim(F.col("text"), F.lit(SPACE))
     rows = conversations.select(
@@ -108,36 +108,38 @@ def _prepared(conversations: DataFrame) -> DataFrame:
         copies.cast("long").alias("copies"),
     ).select(
         "*",
-        F.sha2("text", 256).alias("digest"),
+        F.unhex(F.sha2("text", 256)).alias("digest"),
         (stripped == "").alias("blank"),
         (~F.right(stripped, F.lit(1)).isin(".", "!", "?")).alias("truncated"),
     )
-    earliest = (
+    marks = (
         rows.filter((F.col("copies") > 0) & ~F.col("blank"))
-        .groupBy("conv_id", "role", "digest", "truncated", "text")
+        .groupBy("conv_id", "role", "digest", "truncated")
         .agg(
             F.min("turn").alias("known"),
             F.max(F.col("turn").isNull()).alias("unknown"),
         )
+        .select(
+            "conv_id",
+            F.when(~F.col("unknown"), F.col("known")).alias("turn"),
+            "role",
+            "digest",
+            F.lit(False).alias("blank"),
+            "truncated",
+            F.lit(0).cast("long").alias("copies"),
+            F.lit(True).alias("first"),
+        )
     )
-    earliest = earliest.withColumns(
-        {
-            "turn": F.when(~F.col("unknown"), F.col("known")),
-            "blank": F.lit(False),
-            "first": F.lit(True),
-        }
-    )
-    row = ["conv_id", "turn", "role", "digest", "blank", "truncated", "first"]
-    marks = earliest.select(*row, F.lit(0).cast("long").alias("copies"))
-    plain = rows.withColumn("first", F.lit(False)).select(marks.columns)
+    plain = rows.withColumn("first", F.lit(False))
     light = (
-        plain.unionByName(marks)
+        plain.select(marks.columns)
+        .unionByName(marks)
         .groupBy("conv_id", "turn", "role", "digest", "blank", "truncated")
         .agg(F.sum("copies").alias("copies"), F.max("first").alias("first"))
         .select("*", F.lit(None).cast("string").alias("text"), F.lit(0).alias("part"))
     )
-    texts = earliest.select(
-        *row, F.lit(1).cast("long").alias("copies"), "text", F.lit(1).alias("part")
+    texts = plain.filter((F.col("copies") > 0) & ~F.col("blank")).withColumn(
+        "part", F.lit(1)
     )
     return (
         light.unionByName(texts)
@@ -258,7 +260,7 @@ class Conversation:
         self.blank = self.duplicate = self.truncated = self.illegal = 0
         self.role = None
         self.path = Path()
-        self.gone = bytearray()  # for each row whether it must go
+        self.gone = bytearray()  # for each row whether it must go; 2: has no text
         self.audit = None
 
     def row(self, turn, role, blank, truncated, copies, first) -> None:
@@ -282,7 +284,7 @@ class Conversation:
             copies -= 1
         if copies:
             self.path.removed(copies)
-            self.gone.extend(b"\1" * copies)
+            self.gone.extend((b"\2" if blank else b"\1") * copies)
         if blank:
             self.blank += copies
         else:
@@ -307,27 +309,28 @@ class Conversation:
         return ROLES[MADE[self.state]]
 
     def _until_text(self) -> Iterator[tuple]:
-        """Inserted turns and rows that must go, up to a row with a text."""
+        """Inserted turns and blank rows, up to a row with a text."""
         while self.letter < len(self.audit):
             if self.audit[self.letter] == "I":
                 yield self._turn("I", self._made(), "")
-            elif self.gone[self.at]:
+            elif self.gone[self.at] == 2:
                 self.at += 1
             else:
                 return
             self.letter += 1
 
-    def text(self, role: str, text: str) -> Iterator[tuple]:
-        """The turns that the next row with a text adds."""
+    def text(self, role: str, text: str, copies: int) -> Iterator[tuple]:
+        """The turns that the next rows, which share a text, add."""
         self.settle()
-        yield from self._until_text()
-        edit = self.audit[self.letter]
-        if edit == "K":
-            yield self._turn("K", role, text)
-        elif edit == "R":
-            yield self._turn("R", self._made(), text)
-        self.letter += 1
-        self.at += 1
+        for _ in range(copies):
+            yield from self._until_text()
+            edit = self.audit[self.letter]
+            if edit == "K":
+                yield self._turn("K", role, text)
+            elif edit == "R":
+                yield self._turn("R", self._made(), text)
+            self.letter += 1
+            self.at += 1
 
     def rest(self) -> Iterator[tuple]:
         self.settle()
@@ -367,7 +370,7 @@ def _streamed(rows: Iterator[dict], turns: bool) -> Iterator[tuple]:
                 row["copies"], row["first"],
             )
         else:
-            made = open_one.text(row["role"], row["text"])
+            made = open_one.text(row["role"], row["text"], row["copies"])
             if turns:
                 yield from ((name, *turn) for turn in made)
             else:
