@@ -37,7 +37,10 @@ def silver(lake: Lake, args) -> None:
     print(f"Saved count: {layers.build_silver(lake)}")
     clean = lake.silver.read()
     clean.printSchema()
-    partition_stats(clean, "occ_year").orderBy("occ_year").show(30)
+    if lake.in_parts:
+        lake.silver.parts().orderBy("part").show(30, truncate=False)
+    else:
+        partition_stats(clean, "occ_year").orderBy("occ_year").show(30)
 
 
 def gold(lake: Lake, args) -> None:
@@ -110,6 +113,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--raw-root", default=os.getenv("RAW_ROOT"))
     parser.add_argument("--dataset-id", default="incidents")
     parser.add_argument("--base-buckets", type=int, default=0)
+    parser.add_argument("--key-buckets", type=int, default=0)
     jobs = parser.add_subparsers(required=True)
     for job in (silver, gold, models, validate, inspect, history):
         jobs.add_parser(job.__name__).set_defaults(job=job)
@@ -134,6 +138,14 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("--lake-root or LAKE_ROOT is required")
     spark = build_session()
     try:
-        args.job(Lake(spark, args.lake_root, base_buckets=args.base_buckets), args)
+        lake = Lake(
+            spark,
+            args.lake_root,
+            base_buckets=args.base_buckets,
+            key_buckets=args.key_buckets,
+        )
+        args.job(lake, args)
+        # Names given before follow the tables that the job wrote.
+        lake.publish(only_named=True)
     finally:
         spark.stop()

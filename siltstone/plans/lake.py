@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from siltstone import schemas
 from siltstone import values as V
+from siltstone.sources.parts import PartTable
 from siltstone.sources.tables import VersionedTable, ensure_namespace, publish
 
 
@@ -13,21 +14,35 @@ class Lake:
     """Data and control tables under one root folder (any Hadoop file system).
 
     ``base_buckets`` buckets the base table by its key, so a merge shuffles the batch
-    only; choose it so that a bucket fits a task.
+    only; choose it so that a bucket fits a task. ``key_buckets`` keeps the base table
+    in that many parts by key, and Silver and fact in parts by year: a load then writes
+    only the parts it changes, and marts take the difference. Choose several times as
+    many as a usual batch has rows, or as many as files are worth having.
     """
 
-    def __init__(self, spark: SparkSession, root: str, *, base_buckets: int = 0):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        *,
+        base_buckets: int = 0,
+        key_buckets: int = 0,
+    ):
+        if base_buckets and key_buckets:
+            raise ValueError("Choose base_buckets or key_buckets.")
         self.spark = spark
         self.root = root.rstrip("/")
-        self.bronze = VersionedTable(
-            spark,
-            f"{self.root}/bronze/incident_reports",
-            bucket_key=V.BUSINESS_KEY,
-            buckets=base_buckets,
-        )
-        self.silver = self._table("silver/incident_reports")
+        self.in_parts = key_buckets > 0
+        base = f"{self.root}/bronze/incident_reports"
+        if self.in_parts:
+            self.bronze = PartTable.by_key(spark, base, V.BUSINESS_KEY, key_buckets)
+        else:
+            self.bronze = VersionedTable(
+                spark, base, bucket_key=V.BUSINESS_KEY, buckets=base_buckets
+            )
+        self.silver = self._dated("silver/incident_reports")
         self.summary = self._table("gold/monthly_summary")
-        self.fact = self._table("marts/incident_fact")
+        self.fact = self._dated("marts/incident_fact")
         self.trends = self._table("marts/monthly_trends")
         self.rates = self._table("marts/monthly_clearance_rates")
         self.runs = self._table("control/pipeline_run")
@@ -35,6 +50,11 @@ class Lake:
         self.files = self._table("control/raw_file_manifest")
         self.watermarks = self._table("control/source_watermark")
 
+    def _dated(self, name: str) -> VersionedTable | PartTable:
+        if self.in_parts:
+            return PartTable.by_year(self.spark, f"{self.root}/{name}", "occ_date")
+        return self._table(name)
+
     def _table(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/{name}")
 
@@ -64,7 +84,7 @@ class Lake:
         """
         names = []
         for table in vars(self).values():
-            if isinstance(table, VersionedTable) and table.exists():
+            if isinstance(table, VersionedTable | PartTable) and table.exists():
                 namespace, name = table.path.split("/")[-2:]
                 if only_named and not self.spark.catalog.tableExists(
                     f"{namespace}.{name}"

@@ -1,30 +1,36 @@
 """Base table load, typed layer, marts, and the checks across layers."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from siltstone import values as V
-from siltstone.operators import marts, merge, quality, staging
+from siltstone.operators import deltas, marts, merge, quality, staging
 from siltstone.operators.control import manifest_gate
+from siltstone.operators.deltas import Changes
 from siltstone.operators.quality import QualityError, require_empty
 from siltstone.operators.standardize import enrich, incident_fact, standardize
 from siltstone.plans.lake import Lake
+from siltstone.plans.touched import merge_touched, replaced_keys
 from siltstone.sources.landing import scan_batch, scan_manifest
 from siltstone.sources.tables import staged
 
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What a base table load did; ``merged`` is None when nothing was compared."""
+    """What a base table load did; ``merged`` is None when nothing was compared.
+
+    ``changes`` holds the rows of touched keys before and after a merge in parts.
+    """
 
     incoming: int
     deduplicated: int
     merged: int | None
     saved: int
     committed: bool
+    changes: Changes | None = field(default=None, compare=False)
 
 
 def load_base(
@@ -79,38 +85,39 @@ def apply_batch(
     compare: str = merge.TYPED,
 ) -> LoadReport:
     """Deduplicate a checked batch, write the new table, verify it, then commit it."""
-    updates = staged(staging.dedupe_latest(incoming), "updates")
+    kept = staging.dedupe_latest(incoming)
+    if full_snapshot or not lake.bronze.exists():
+        return _replace_base(lake, kept, profile)
+    updates = staged(kept, "updates")
+    if lake.in_parts:
+        found = merge_touched(lake.bronze, updates, compare=compare)
+        return LoadReport(
+            incoming=profile["incoming_count"],
+            deduplicated=profile["deduplicated_count"],
+            merged=found.merged,
+            saved=lake.bronze.latest()["record_count"],
+            committed=found.merged > 0,
+            changes=found.changes,
+        )
     bucketed = lake.bronze.buckets > 0
     small = not bucketed and merge.fits_broadcast(updates)
-    merged = None
+    target = lake.bronze.read()
+    merged = merge.merge_candidates(
+        updates, target, compare=compare, small_updates=small
+    ).count()
     written = None
-    if full_snapshot or not lake.bronze.exists():
-        written = lake.bronze.write(updates)
-    else:
-        target = lake.bronze.read()
-        merged = merge.merge_candidates(
-            updates, target, compare=compare, small_updates=small
-        ).count()
-        if merged > 0:
-            written = lake.bronze.write(
-                merge.upsert(target, updates, compare=compare, small_updates=small),
-                keeps_buckets=bucketed,
-            )
-
-    if written is None:
-        stored, saved = lake.bronze.read(), lake.bronze.latest()["record_count"]
-    else:
+    stored, saved = target, lake.bronze.latest()["record_count"]
+    if merged > 0:
+        written = lake.bronze.write(
+            merge.upsert(target, updates, compare=compare, small_updates=small),
+            keeps_buckets=bucketed,
+        )
         stored = lake.spark.read.parquet(written)
         saved = stored.count()
     require_empty(
         merge.unapplied_rows(updates, stored, compare=compare, small_updates=small),
         "Incoming records were not applied to the base table.",
     )
-    if full_snapshot and saved != profile["deduplicated_count"]:
-        raise QualityError(
-            f"The base table holds {saved} records, the snapshot "
-            f"{profile['deduplicated_count']}."
-        )
     if written is not None:
         lake.bronze.commit(written)
     return LoadReport(
@@ -122,6 +129,28 @@ def apply_batch(
     )
 
 
+def _replace_base(lake: Lake, kept: DataFrame, profile: Row) -> LoadReport:
+    """Write the batch once as the whole table; its rows are counted before they count."""
+    folder = lake.bronze.write(kept)
+    saved = lake.spark.read.schema(kept.schema).parquet(folder).count()
+    if saved != profile["deduplicated_count"]:
+        raise QualityError(
+            f"The base table holds {saved} records, the batch "
+            f"{profile['deduplicated_count']}."
+        )
+    if lake.in_parts:
+        lake.bronze.commit(lake.bronze.counted(folder, kept.schema), kept.schema)
+    else:
+        lake.bronze.commit(folder)
+    return LoadReport(
+        incoming=profile["incoming_count"],
+        deduplicated=profile["deduplicated_count"],
+        merged=None,
+        saved=saved,
+        committed=True,
+    )
+
+
 def _require_manifest(lake: Lake, prefix: str, run_id: str, records: int) -> None:
     actual = lake.spark.range(1).select(
         F.lit(run_id).alias("run_id"), F.lit(records).alias("actual_record_count")
@@ -131,29 +160,108 @@ def _require_manifest(lake: Lake, prefix: str, run_id: str, records: int) -> Non
     require_empty(refused, "A full snapshot needs a matching SUCCESS manifest.")
 
 
+def _base_version(lake: Lake) -> int:
+    return lake.bronze.latest()["version"]
+
+
+def _store_dated(lake: Lake, table, rows: DataFrame) -> int:
+    version = _base_version(lake)
+    if lake.in_parts:
+        return table.replace(rows, source_version=version)
+    return table.replace(
+        rows, year_of="occ_date", year_column="occ_year", source_version=version
+    )
+
+
+def _store_mart(lake: Lake, table, rows: DataFrame, measures: tuple[str, ...]) -> int:
+    """Write a mart, refuse groups below zero, then commit it."""
+    by_year = {} if table is lake.summary else {"year_of": "occ_month"}
+    if by_year:
+        by_year["year_column"] = "occ_year"
+    folder = table.write(rows, **by_year)
+    require_empty(
+        deltas.negative_groups(lake.spark.read.parquet(folder), measures),
+        "A change took more from a group than it had.",
+    )
+    return table.commit(folder, _base_version(lake))
+
+
 def build_silver(lake: Lake) -> int:
-    clean = standardize(lake.bronze.read())
-    return lake.silver.replace(clean, year_of="occ_date", year_column="occ_year")
+    return _store_dated(lake, lake.silver, standardize(lake.bronze.read()))
 
 
 def build_gold(lake: Lake) -> int:
-    return lake.summary.replace(marts.monthly_summary(lake.silver.read()))
+    return lake.summary.replace(
+        marts.monthly_summary(lake.silver.read()), source_version=_base_version(lake)
+    )
+
+
+def build_fact(lake: Lake) -> int:
+    return _store_dated(lake, lake.fact, incident_fact(enrich(lake.silver.read())))
+
+
+def _build_trends(lake: Lake) -> int:
+    trends = marts.monthly_trends(lake.fact.read())
+    return _store_mart(lake, lake.trends, trends, marts.TREND_MEASURES)
+
+
+def _build_rates(lake: Lake) -> int:
+    rates = marts.clearance_rates(lake.fact.read())
+    return _store_mart(lake, lake.rates, rates, deltas.RATE_MEASURES)
 
 
 def build_models(lake: Lake) -> dict[str, int]:
     """Fact and marts, independent of the gold summary."""
-    rows = {
-        "fact": lake.fact.replace(
-            incident_fact(enrich(lake.silver.read())),
-            year_of="occ_date",
-            year_column="occ_year",
-        )
+    return {
+        "fact": build_fact(lake),
+        "trends": _build_trends(lake),
+        "rates": _build_rates(lake),
     }
-    fact = lake.fact.read()
-    by_year = {"year_of": "occ_month", "year_column": "occ_year"}
-    rows["trends"] = lake.trends.replace(marts.monthly_trends(fact), **by_year)
-    rows["rates"] = lake.rates.replace(marts.clearance_rates(fact), **by_year)
-    return rows
+
+
+def refresh(lake: Lake, changes: Changes | None = None) -> dict[str, str]:
+    """Bring every layer to the version of the base table; says how for each.
+
+    A layer made from the version before the change set takes the difference: the
+    years that it touches, or the groups. One that is older, as after a run that
+    failed half-way, is built from scratch, and one that is there already is left.
+    """
+    version = _base_version(lake)
+    typed = changes and changes.mapped(standardize)
+    facts = typed and typed.mapped(lambda rows: incident_fact(enrich(rows)))
+
+    def store(table, stored_rows, measures):
+        return lambda: _store_mart(lake, table, stored_rows(), measures)
+
+    def summary():
+        return deltas.changed_summary(lake.summary.read(), deltas.summary_delta(typed))
+
+    def trends():
+        return deltas.changed_summary(lake.trends.read(), deltas.trends_delta(facts))
+
+    def rates():
+        return deltas.changed_rates(lake.rates.read(), deltas.rates_delta(facts))
+
+    steps = {
+        "silver": (lake.silver, build_silver, lambda: replaced_keys(lake.silver, typed, version)),
+        "fact": (lake.fact, build_fact, lambda: replaced_keys(lake.fact, facts, version)),
+        "summary": (lake.summary, build_gold, store(lake.summary, summary, marts.TREND_MEASURES)),
+        "trends": (lake.trends, _build_trends, store(lake.trends, trends, marts.TREND_MEASURES)),
+        "rates": (lake.rates, _build_rates, store(lake.rates, rates, deltas.RATE_MEASURES)),
+    }
+    done = {}
+    for name, (table, build, change) in steps.items():
+        latest = table.latest()
+        made_from = latest and latest["source_version"]
+        if made_from == version:
+            done[name] = "current"
+        elif changes is not None and made_from == changes.base_version:
+            change()
+            done[name] = "changed"
+        else:
+            build(lake)
+            done[name] = "built"
+    return done
 
 
 def check_models(lake: Lake) -> None:

@@ -292,10 +292,13 @@ def mark_failed(lake: Lake, run_id: str, category: str, message: str) -> dict:
     }
 
 
-def _build_and_validate(lake: Lake) -> None:
-    layers.build_silver(lake)
-    layers.build_gold(lake)
-    layers.build_models(lake)
+def _build_and_validate(lake: Lake, report: layers.LoadReport) -> None:
+    if lake.in_parts:
+        layers.refresh(lake, report.changes)
+    else:
+        layers.build_silver(lake)
+        layers.build_gold(lake)
+        layers.build_models(lake)
     layers.check_models(lake)
     layers.validate_layers(lake)
 
@@ -322,7 +325,7 @@ def daily_load(
             full_snapshot=batch["load_mode"] == V.FULL_SNAPSHOT,
             json_lines=True,
         )
-        _build_and_validate(lake)
+        _build_and_validate(lake, report)
     except Exception as error:
         mark_failed(lake, batch["pipeline_run_id"], PROCESSING_FAILURE, str(error))
         raise
@@ -368,7 +371,7 @@ def bootstrap(
             full_snapshot=True,
             json_lines=True,
         )
-        _build_and_validate(lake)
+        _build_and_validate(lake, report)
     except Exception as error:
         mark_failed(lake, ids["pipeline_run_id"], PROCESSING_FAILURE, str(error))
         raise

@@ -109,8 +109,12 @@ def clean_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize(base_incidents(spark, sf_dir))
 
 
+def as_fact(clean: DataFrame) -> DataFrame:
+    return incident_fact(enrich(clean))
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incident_fact(enrich(clean_incidents(spark, sf_dir)))
+    return as_fact(clean_incidents(spark, sf_dir))
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,6 +176,51 @@ def merge_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def moved_batch(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+    """Updates that move incidents to other months, years, districts and states.
+
+    The first batch loses some dates, the second adds copies under new keys; both
+    hold the keys that 35 numbers have in common, and the second one wins there.
+    """
+    base = base_incidents(spark, sf_dir)
+    key = F.col(V.BUSINESS_KEY).cast("long")
+    first = F.to_date(F.substring("source_created_at", 1, 10))
+
+    def moved(days: int) -> Column:
+        return _day_text(F.date_add(first, days).cast("timestamp"))
+
+    newer = _instant_text(
+        _plus(F.to_timestamp(F.substring("source_created_at", 1, 10)), F.lit(number))
+        + F.expr("INTERVAL 12 HOURS")
+    )
+    marked = base.withColumns(
+        {V.UPDATED_AT: newer, "ingestion_run_id": F.lit(f"run-{number + 1}")}
+    )
+    if number == 1:
+        return marked.filter(key % 5 == 1).withColumns(
+            {
+                "occ_date": F.when(key % 35 == 1, "n/a").otherwise(moved(40)),
+                "council_district": F.when(key % 2 == 1, "3").otherwise(
+                    F.col("council_district")
+                ),
+                "clearance_status": F.when(key % 3 == 1, "N").otherwise(
+                    F.col("clearance_status")
+                ),
+                "family_violence": F.lit("Y"),
+            }
+        )
+    changed = marked.filter(key % 7 == 2).withColumns(
+        {
+            "occ_date": moved(-400),
+            "clearance_status": F.when(key % 2 == 0, "C"),
+        }
+    )
+    copies = marked.filter(key % 50 == 4).withColumn(
+        V.BUSINESS_KEY, _text(key + 1_000_000_000_000)
+    )
+    return changed.unionByName(copies)
+
+
 def later_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A republished snapshot: new keys, lost keys, changed values and system fields."""
     base = base_incidents(spark, sf_dir)

@@ -168,6 +168,52 @@ rates AS (
 )"""
 )
 
+# The base table after both batches of moved incidents, each as a whole of its rows.
+_NOON = "strftime(CAST(substr(source_created_at, 1, 10) AS TIMESTAMP) + "
+MOVED_BASE = (
+    BASE.replace("\nbase AS (", "\nplain AS (")
+    + f""",
+one AS (
+  SELECT * REPLACE (
+      {_NOON} INTERVAL 36 HOUR, {_ISO}) AS source_updated_at, 'run-2' AS ingestion_run_id,
+      CASE WHEN k % 35 = 1 THEN 'n/a'
+        ELSE {_NOON} INTERVAL 40 DAY, {_DAY}) END AS occ_date,
+      CASE WHEN k % 2 = 1 THEN '3' ELSE council_district END AS council_district,
+      CASE WHEN k % 3 = 1 THEN 'N' ELSE clearance_status END AS clearance_status,
+      'Y' AS family_violence)
+  FROM (SELECT *, CAST(incident_report_number AS BIGINT) AS k FROM plain)
+  WHERE k % 5 = 1
+),
+two AS (
+  SELECT * REPLACE (
+      {_NOON} INTERVAL 60 HOUR, {_ISO}) AS source_updated_at, 'run-3' AS ingestion_run_id,
+      {_NOON} INTERVAL (-400) DAY, {_DAY}) AS occ_date,
+      CASE WHEN k % 2 = 0 THEN 'C' END AS clearance_status)
+  FROM (SELECT *, CAST(incident_report_number AS BIGINT) AS k FROM plain)
+  WHERE k % 7 = 2
+),
+copies AS (
+  SELECT * REPLACE (
+      {_NOON} INTERVAL 60 HOUR, {_ISO}) AS source_updated_at, 'run-3' AS ingestion_run_id,
+      CAST(k + {_BIG} AS VARCHAR) AS incident_report_number)
+  FROM (SELECT *, CAST(incident_report_number AS BIGINT) AS k FROM plain)
+  WHERE k % 50 = 4
+),
+base AS (
+  SELECT * FROM plain WHERE CAST(incident_report_number AS BIGINT) % 5 <> 1
+    AND CAST(incident_report_number AS BIGINT) % 7 <> 2
+  UNION ALL SELECT * EXCLUDE (k) FROM one WHERE k % 7 <> 2
+  UNION ALL SELECT * EXCLUDE (k) FROM two
+  UNION ALL SELECT * EXCLUDE (k) FROM copies
+)"""
+)
+
+
+def _moved(ctes: str) -> str:
+    """The same definitions over the base table after the two batches."""
+    return MOVED_BASE + ctes.removeprefix(BASE)
+
+
 MONTHS = f"occ_month < date_trunc('month', DATE '{AS_OF.isoformat()}')"
 
 REPEATED = f"""
@@ -512,6 +558,10 @@ ORACLES: dict[str, str] = {
     "merge_candidates_text": f"WITH {MERGE} SELECT * FROM candidates",
     "unapplied_rows": f"WITH {MERGE} {_UNAPPLIED.format(stored='target')}",
     "upsert": f"WITH {MERGE} SELECT * FROM merged",
+    "upsert_touched_buckets": f"WITH {MERGE} SELECT * FROM merged",
+    "summary_by_deltas": f"WITH {_moved(MART)} SELECT * FROM mart",
+    "rates_by_deltas": f"WITH {_moved(RATES)} SELECT * FROM rates",
+    "silver_touched_years": f"WITH {_moved(CLEAN)} SELECT * FROM clean",
     "upsert_small_batch": f"WITH {MERGE} SELECT * FROM merged",
     "upsert_bucketed": f"WITH {MERGE} SELECT * FROM merged",
     "upsert_idempotent": f"""WITH {MERGE}

@@ -12,6 +12,7 @@ from siltstone.functions.parsing import iso_millis
 from siltstone.operators import (
     charts,
     control,
+    deltas,
     marts,
     merge,
     profile,
@@ -20,9 +21,16 @@ from siltstone.operators import (
     staging,
     standardize,
 )
+from siltstone.plans.touched import merge_touched, replaced_keys
 from siltstone.registry import inputs as given
 from siltstone.sources import changes, landing
-from siltstone.sources.tables import VersionedTable, partition_stats, with_year_range
+from siltstone.sources.parts import PartTable
+from siltstone.sources.tables import (
+    VersionedTable,
+    partition_stats,
+    staged,
+    with_year_range,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -351,6 +359,65 @@ def upsert_bucketed(spark, sf_dir):
     return merge.upsert(table.read(), given.merge_updates(spark, sf_dir))
 
 
+def _in_parts(spark, rows):
+    path = given.fresh_path(spark, "in-parts")
+    table = PartTable.by_key(spark, path, V.BUSINESS_KEY, 16)
+    table.replace(rows)
+    return table
+
+
+@query
+def upsert_touched_buckets(spark, sf_dir):
+    """The same merge into a table in key buckets: buckets without changes stay."""
+    table = _in_parts(spark, given.merge_target(spark, sf_dir))
+    merge_touched(table, staged(given.merge_updates(spark, sf_dir), "updates"))
+    return table.read()
+
+
+def _typed_changes(spark, sf_dir):
+    """The base table, and what two batches of moved incidents change in it."""
+    table = _in_parts(spark, given.base_incidents(spark, sf_dir))
+    base = table.read()
+
+    def changed():
+        for number in (1, 2):
+            batch = staged(given.moved_batch(spark, sf_dir, number), "updates")
+            yield merge_touched(table, batch).changes.mapped(standardize.standardize)
+
+    return standardize.standardize(base), changed()
+
+
+@query
+def silver_touched_years(spark, sf_dir):
+    """Typed rows in parts by year; each batch rewrites the years it touches."""
+    clean, changed = _typed_changes(spark, sf_dir)
+    table = PartTable.by_year(spark, given.fresh_path(spark, "by-year"), "occ_date")
+    table.replace(clean)
+    for change in changed:
+        replaced_keys(table, change)
+    return table.read()
+
+
+@query
+def summary_by_deltas(spark, sf_dir):
+    """The monthly summary, kept by what two batches add and take."""
+    clean, changed = _typed_changes(spark, sf_dir)
+    summary = staged(marts.monthly_summary(clean), "summary")
+    for change in changed:
+        summary = deltas.changed_summary(summary, deltas.summary_delta(change))
+    return summary
+
+
+@query
+def rates_by_deltas(spark, sf_dir):
+    """Clearance rates from the fact, kept by what two batches add and take."""
+    clean, changed = _typed_changes(spark, sf_dir)
+    rates = staged(marts.clearance_rates(given.as_fact(clean)), "rates")
+    for change in changed:
+        rates = deltas.changed_rates(rates, deltas.rates_delta(change.mapped(given.as_fact)))
+    return rates
+
+
 @query
 def upsert_idempotent(spark, sf_dir):
     """Applying the same updates again finds nothing to do."""

@@ -132,5 +132,22 @@ COMMIT = T.StructType(
         T.StructField("record_count", T.LongType()),
         T.StructField("bucket_key", T.StringType()),
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("source_version", T.LongType()),
+    ]
+)
+
+# One row a commit without a part, and one for each part that the version has.
+PART_COMMIT = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("operation", T.StringType()),
+        T.StructField("part", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("record_count", T.LongType()),
+        T.StructField("parts_replaced", T.LongType()),
+        T.StructField("layout", T.StringType()),
+        T.StructField("rule", T.StringType()),
+        T.StructField("source_version", T.LongType()),
     ]
 )

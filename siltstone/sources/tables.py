@@ -141,16 +141,16 @@ class VersionedTable:
         year_of: str | None = None,
         year_column: str | None = None,
         keeps_buckets: bool = False,
+        source_version: int | None = None,
     ) -> int:
         """Make ``df`` the content of the table; returns the rows written."""
-        return self.commit(
-            self.write(
-                df,
-                year_of=year_of,
-                year_column=year_column,
-                keeps_buckets=keeps_buckets,
-            )
+        folder = self.write(
+            df,
+            year_of=year_of,
+            year_column=year_column,
+            keeps_buckets=keeps_buckets,
         )
+        return self.commit(folder, source_version)
 
     def write(
         self,
@@ -185,8 +185,11 @@ class VersionedTable:
             write_by_year(df, folder, year_of, year_column or f"{year_of}_year")
         return folder
 
-    def commit(self, folder: str) -> int:
-        """Make a written folder the content of the table; returns its rows."""
+    def commit(self, folder: str, source_version: int | None = None) -> int:
+        """Make a written folder the content of the table; returns its rows.
+
+        ``source_version`` notes the version of the table that this one was made from.
+        """
         previous = self.latest()
         version = 1 if previous is None else previous["version"] + 1
         # Counted from the files rather than while writing: lost and repeated
@@ -200,6 +203,7 @@ class VersionedTable:
             "record_count": rows,
             "bucket_key": self.bucket_key if self.buckets else None,
             "buckets": self.buckets,
+            "source_version": source_version,
         }
         (
             self.spark.range(1)
@@ -211,10 +215,13 @@ class VersionedTable:
         return rows
 
 
-def publish(table: VersionedTable, name: str) -> None:
+    def view_sql(self) -> str:
+        return f"SELECT * FROM parquet.`{self.latest()['path']}`"
+
+
+def publish(table, name: str) -> None:
     """Give the latest version a catalog name, for SQL users."""
-    folder = table.latest()["path"]
-    table.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    table.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {table.view_sql()}")
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:

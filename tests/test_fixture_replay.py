@@ -51,10 +51,17 @@ def lake(spark, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "compare, buckets", [("typed", 0), ("text", 0), ("typed", 4)]
+    "compare, options",
+    [
+        ("typed", {}),
+        ("text", {}),
+        ("typed", {"base_buckets": 4}),
+        ("typed", {"key_buckets": 4}),
+        ("text", {"key_buckets": 1}),
+    ],
 )
-def test_create_merge_and_rerun(spark, tmp_path, compare, buckets):
-    lake = Lake(spark, str(tmp_path / "lake"), base_buckets=buckets)
+def test_create_merge_and_rerun(spark, tmp_path, compare, options):
+    lake = Lake(spark, str(tmp_path / "lake"), **options)
     initial = land(tmp_path / "raw", "fixture_initial", INITIAL)
     incremental = land(tmp_path / "raw", "fixture_incremental", INCREMENTAL)
 
