@@ -194,6 +194,38 @@ def manifest_files(
     )
 
 
+def changed_files(ledger: DataFrame, stored: DataFrame) -> DataFrame:
+    """Registered files whose bytes are not those on storage, and unregistered ones.
+
+    Both sides hold ``file_name``, ``file_size_bytes`` and ``checksum_sha256`` of one
+    batch. Content of equal size counts as changed when its digest differs; a file
+    registered without a digest is compared by size.
+    """
+    known = ledger.select(
+        "file_name",
+        F.col("file_size_bytes").alias("registered_size_bytes"),
+        F.col("checksum_sha256").alias("registered_checksum"),
+        F.lit(True).alias("_known"),
+    )
+    size = F.col("file_size_bytes").eqNullSafe(F.col("registered_size_bytes"))
+    digest = F.col("registered_checksum").isNull() | F.col(
+        "registered_checksum"
+    ).eqNullSafe(F.col("checksum_sha256"))
+    problem = (
+        F.when(F.col("_known").isNull(), "NOT_REGISTERED")
+        .when(F.col("checksum_sha256").isNull(), "NOT_STORED")
+        .when(~size, "SIZE_DIFFERS")
+        .when(~digest, "CONTENT_DIFFERS")
+    )
+    found = stored.select("file_name", "file_size_bytes", "checksum_sha256")
+    return (
+        known.join(found, "file_name", "full_outer")
+        .withColumn("problem", problem)
+        .filter("problem IS NOT NULL")
+        .drop("_known")
+    )
+
+
 def manifest_checks(
     manifests: DataFrame,
     entries: DataFrame,

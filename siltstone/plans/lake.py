@@ -6,9 +6,12 @@ from pyspark.sql import types as T
 
 from siltstone import schemas
 from siltstone import values as V
+from siltstone.sources.events import EventTable
 from siltstone.sources.parts import PartTable
 from siltstone.sources.tables import VersionedTable, ensure_namespace, publish
 
+TABLES = (VersionedTable, PartTable, EventTable)
+
 
 class Lake:
     """Data and control tables under one root folder (any Hadoop file system).
@@ -45,10 +48,21 @@ class Lake:
         self.fact = self._dated("marts/incident_fact")
         self.trends = self._table("marts/monthly_trends")
         self.rates = self._table("marts/monthly_clearance_rates")
-        self.runs = self._table("control/pipeline_run")
-        self.batches = self._table("control/extract_batch")
-        self.files = self._table("control/raw_file_manifest")
-        self.watermarks = self._table("control/source_watermark")
+        self.runs = self._events(
+            "control/pipeline_run", schemas.PIPELINE_RUN, "pipeline_run_id"
+        )
+        self.batches = self._events(
+            "control/extract_batch", schemas.EXTRACT_BATCH, "extract_batch_id"
+        )
+        self.files = self._events(
+            "control/raw_file_manifest",
+            schemas.FILE_LEDGER,
+            "extract_batch_id",
+            "object_path",
+        )
+        self.watermarks = self._events(
+            "control/source_watermark", schemas.WATERMARK, "dataset_id"
+        )
 
     def _dated(self, name: str) -> VersionedTable | PartTable:
         if self.in_parts:
@@ -58,23 +72,20 @@ class Lake:
     def _table(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/{name}")
 
-    def control(self, table: VersionedTable, schema: T.StructType) -> DataFrame:
-        """A control table, empty before its first entry."""
-        if table.exists():
-            return table.read()
-        return empty(self.spark, schema)
+    def _events(self, name: str, schema: T.StructType, *ids: str) -> EventTable:
+        return EventTable(self.spark, f"{self.root}/{name}", schema, ids)
 
     def control_runs(self) -> DataFrame:
-        return self.control(self.runs, schemas.PIPELINE_RUN)
+        return self.runs.read()
 
     def control_batches(self) -> DataFrame:
-        return self.control(self.batches, schemas.EXTRACT_BATCH)
+        return self.batches.read()
 
     def control_files(self) -> DataFrame:
-        return self.control(self.files, schemas.FILE_LEDGER)
+        return self.files.read()
 
     def control_watermarks(self) -> DataFrame:
-        return self.control(self.watermarks, schemas.WATERMARK)
+        return self.watermarks.read()
 
     def publish(self, only_named: bool = False) -> list[str]:
         """Name every existing table in the catalog, for SQL users.
@@ -84,7 +95,7 @@ class Lake:
         """
         names = []
         for table in vars(self).values():
-            if isinstance(table, VersionedTable | PartTable) and table.exists():
+            if isinstance(table, TABLES) and table.exists():
                 namespace, name = table.path.split("/")[-2:]
                 if only_named and not self.spark.catalog.tableExists(
                     f"{namespace}.{name}"
@@ -103,6 +114,3 @@ def one_row(spark: SparkSession, schema: T.StructType, **values) -> DataFrame:
     ]
     return spark.range(1).select(*columns)
 
-
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return one_row(spark, schema).limit(0)

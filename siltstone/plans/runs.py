@@ -10,6 +10,7 @@ from siltstone import schemas
 from siltstone import values as V
 from siltstone.functions.parsing import instant_of
 from siltstone.operators import control, merge
+from siltstone.operators.quality import require_empty
 from siltstone.plans import layers
 from siltstone.plans.lake import Lake, one_row
 from siltstone.sources import changes, landing
@@ -68,8 +69,8 @@ def _record(lake: Lake, ids: dict, run: dict, batch: dict) -> None:
         created_at=now,
         **{"pages_downloaded": 0, "record_count": 0, **batch},
     )
-    lake.runs.replace(lake.control_runs().unionByName(run_row))
-    lake.batches.replace(lake.control_batches().unionByName(batch_row))
+    lake.runs.append(run_row, f"opened {ids['pipeline_run_id']}")
+    lake.batches.append(batch_row, f"opened {ids['extract_batch_id']}")
 
 
 def _close_batch(lake: Lake, batch_id: str, **fields) -> None:
@@ -80,15 +81,15 @@ def _close_batch(lake: Lake, batch_id: str, **fields) -> None:
         finished_at=datetime.now(timezone.utc),
         **fields,
     )
-    lake.batches.replace(
-        merge.upsert(
-            lake.control_batches(),
-            row,
-            "extract_batch_id",
-            updated_at=None,
-            set_columns=["finished_at", *fields],
-        )
+    known = lake.control_batches().filter(F.col("extract_batch_id") == batch_id)
+    closed = merge.upsert(
+        known,
+        row,
+        "extract_batch_id",
+        updated_at=None,
+        set_columns=["finished_at", *fields],
     )
+    lake.batches.append(closed, f"closed {batch_id}")
 
 
 def extract_changes(
@@ -207,16 +208,21 @@ def _land_batch(
             inventory, run=run, expected=expected, source_records=source_records
         )
         landing.write_manifest(manifest, inventory, prefix)
-        entries = landing.scan_entries(lake.spark, prefix).select(
+        digests = _page_checksums(lake, prefix).select("file_name", "checksum_sha256")
+        listed = landing.scan_entries(lake.spark, prefix)
+        entries = listed.join(digests, "file_name", "left").select(
             F.lit(run["extract_batch_id"]).alias("extract_batch_id"),
             "file_name",
             F.concat(F.lit(prefix), "file_name").alias("object_path"),
             "record_count",
             "file_size_bytes",
-            F.lit(None).cast("string").alias("checksum_sha256"),
+            "checksum_sha256",
             F.current_timestamp().alias("created_at"),
         )
-        lake.files.replace(control.register_files(lake.control_files(), entries))
+        known = lake.files.read(entries)
+        lake.files.append(
+            control.register_files(known, entries), f"pages {run['extract_batch_id']}"
+        )
         landed = landing.scan_manifest(lake.spark, prefix).drop("files").first()
     except Exception as error:
         _close_batch(lake, run["extract_batch_id"], status=V.FAILED)
@@ -237,6 +243,21 @@ def _land_batch(
     return landed
 
 
+def _page_checksums(lake: Lake, prefix: str) -> DataFrame:
+    return landing.page_checksums(
+        lake.spark, f"{prefix.rstrip('/')}/{landing.PAGES_GLOB}"
+    )
+
+
+def check_landed_pages(lake: Lake, batch_id: str, prefix: str) -> None:
+    """The bytes on storage are those that were registered when the batch was landed."""
+    registered = lake.control_files().filter(F.col("extract_batch_id") == batch_id)
+    require_empty(
+        control.changed_files(registered, _page_checksums(lake, prefix)),
+        "Landed pages are not those registered.",
+    )
+
+
 def finish_run(lake: Lake, run_id: str, dataset_id: str, window_end: datetime) -> dict:
     """Advance the watermark and close the run; a repeated call changes nothing."""
     if not run_id or window_end is None:
@@ -249,16 +270,17 @@ def finish_run(lake: Lake, run_id: str, dataset_id: str, window_end: datetime) -
         F.lit(dataset_id).alias("dataset_id"),
         F.lit(window_end).cast("timestamp").alias("window_end"),
     )
-    marks = lake.control_watermarks()
-    runs = lake.control_runs()
+    marks = lake.control_watermarks().filter(F.col("dataset_id") == dataset_id)
+    runs = lake.control_runs().filter(F.col("pipeline_run_id") == run_id)
     decisions = control.watermark_decisions(request, runs, marks)
     decided = decisions.first()
     decision = decided["decision"]
     if decision == control.ADVANCE:
         # The watermark first: repeating the call after a failure in between
         # advances to the same value and then closes the run.
-        lake.watermarks.replace(control.advanced_watermarks(marks, decisions))
-        lake.runs.replace(control.closed_runs(runs, decisions))
+        event = f"finished {run_id}"
+        lake.watermarks.append(control.advanced_watermarks(marks, decisions), event)
+        lake.runs.append(control.closed_runs(runs, decisions), event)
     elif decision != control.ALREADY_FINALIZED:
         raise ValueError(f"Run {run_id} cannot be finished: {decision}.")
     return {
@@ -278,11 +300,11 @@ def mark_failed(lake: Lake, run_id: str, category: str, message: str) -> dict:
         F.lit(category).alias("failure_category"),
         F.lit(message).alias("error_message"),
     )
-    runs = lake.control_runs()
+    runs = lake.control_runs().filter(F.col("pipeline_run_id") == run_id)
     decisions = control.failure_decisions(request, runs)
     decision = decisions.first()["decision"]
     if decision == control.MARK_FAILED:
-        lake.runs.replace(control.closed_runs(runs, decisions))
+        lake.runs.append(control.closed_runs(runs, decisions), f"failed {run_id}")
     elif decision != control.ALREADY_FAILED:
         raise ValueError(f"Run {run_id} cannot be marked as failed: {decision}.")
     return {
@@ -317,6 +339,7 @@ def daily_load(
     if not batch["has_changes"]:
         return batch
     try:
+        check_landed_pages(lake, batch["extract_batch_id"], batch["prefix"])
         report = layers.load_base(
             lake,
             batch["prefix"],
@@ -363,6 +386,7 @@ def bootstrap(
         source_records=expected,
     )
     try:
+        check_landed_pages(lake, ids["extract_batch_id"], prefix)
         report = layers.load_base(
             lake,
             prefix,
@@ -376,7 +400,7 @@ def bootstrap(
         mark_failed(lake, ids["pipeline_run_id"], PROCESSING_FAILURE, str(error))
         raise
     stored = lake.bronze.read()
-    lake.watermarks.replace(
+    lake.watermarks.append(
         control.seed_watermark(
             lake.control_watermarks(),
             stored,
@@ -384,7 +408,8 @@ def bootstrap(
             run_id=F.lit(ids["pipeline_run_id"]),
             updated_at=instant_of(stored, V.UPDATED_AT),
             watermark_column=SOURCE_TIME,
-        )
+        ),
+        f"seeded {ids['pipeline_run_id']}",
     )
     mark = lake.control_watermarks().filter(F.col("dataset_id") == dataset_id).first()
     finish_run(

@@ -492,6 +492,12 @@ ORACLES: dict[str, str] = {
           'landing/' || obj AS object_path, record_count, file_size_bytes,
           CAST(NULL AS VARCHAR) AS checksum_sha256, created_at
         FROM merged""",
+    "page_checksums": """
+        SELECT 'c_nationkey=' || c_nationkey AS folder,
+          CAST(sum(strlen(line) + 1) AS BIGINT) AS file_size_bytes,
+          sha256(string_agg(line || chr(10), '' ORDER BY c_custkey)) AS checksum_sha256
+        FROM (SELECT *, c_custkey || ' ' || c_name AS line FROM customer) GROUP BY ALL
+        """,
     "source_summary": """SELECT count(*) AS record_count, max(ts) AS max_updated_at
         FROM events""",
     "change_window": """SELECT count(*) AS record_count, max(ts) AS max_updated_at
@@ -849,3 +855,6 @@ ORACLES: dict[str, str] = {
         SELECT council_district, CAST(sum(incident_count) AS BIGINT) AS total_incidents
         FROM mart WHERE {MONTHS} AND council_district IS NOT NULL GROUP BY 1""",
 }
+# The same results reached by events.
+ORACLES["file_ledger_events"] = ORACLES["file_ledger_upsert"]
+ORACLES["run_closing_events"] = ORACLES["run_closing"]

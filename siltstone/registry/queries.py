@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone import schemas
 from siltstone import values as V
 from siltstone.functions.parsing import iso_millis
 from siltstone.operators import (
@@ -24,6 +25,7 @@ from siltstone.operators import (
 from siltstone.plans.touched import merge_touched, replaced_keys
 from siltstone.registry import inputs as given
 from siltstone.sources import changes, landing
+from siltstone.sources.events import EventTable
 from siltstone.sources.parts import PartTable
 from siltstone.sources.tables import (
     VersionedTable,
@@ -207,6 +209,42 @@ def file_ledger_upsert(spark, sf_dir):
     )
 
 
+@query
+def page_checksums(spark, sf_dir):
+    """Size and content digest of landed files: the customers of each nation."""
+    folder = given.fresh_path(spark, "pages")
+    (
+        given.table(spark, sf_dir, "customer")
+        .repartition("c_nationkey")
+        .sortWithinPartitions("c_nationkey", "c_custkey")
+        .select("c_nationkey", F.concat_ws(" ", "c_custkey", "c_name").alias("value"))
+        .write.partitionBy("c_nationkey")
+        .text(folder)
+    )
+    found = landing.page_checksums(spark, f"{folder}/*/part*")
+    nation = F.regexp_extract("object_path", r"([^/]+)/[^/]+$", 1)
+    return found.select(nation.alias("folder"), "file_size_bytes", "checksum_sha256")
+
+
+@query
+def file_ledger_events(spark, sf_dir):
+    """The same ledger as events: registered, registered anew, compacted in between."""
+    ledger = EventTable(
+        spark,
+        given.fresh_path(spark, "ledger"),
+        schemas.FILE_LEDGER,
+        ["extract_batch_id", "object_path"],
+    )
+    ledger.append(given.file_ledger(spark, sf_dir), "known")
+    uploads = given.uploaded_files(spark, sf_dir)
+    for page in (0, 1):
+        some = uploads.filter(F.crc32(F.col("object_path").cast("binary")) % 2 == page)
+        ledger.append(control.register_files(ledger.read(some), some), f"batch {page}")
+        if page == 0:
+            ledger.compact()
+    return ledger.read()
+
+
 # Queries on the source
 
 
@@ -812,6 +850,24 @@ def run_closing(spark, sf_dir):
     )
 
 
+@query
+def run_closing_events(spark, sf_dir):
+    """The same closing as events on the runs it concerns; appended twice, once seen."""
+    runs = EventTable(
+        spark,
+        given.fresh_path(spark, "runs"),
+        schemas.PIPELINE_RUN,
+        ["pipeline_run_id"],
+    )
+    runs.append(given.runs(spark, sf_dir), "opened")
+    decisions = _failure_decisions(spark, sf_dir)
+    marked = decisions.filter(F.col("decision") == control.MARK_FAILED)
+    for _ in range(2):
+        known = runs.read(marked)
+        runs.append(control.closed_runs(known, marked, _moment(NOW)), "closed")
+    return runs.read()
+
+
 @query
 def watermark_seed(spark, sf_dir):
     """Watermarks of the batch datasets from the latest line item of each."""

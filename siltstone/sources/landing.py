@@ -103,6 +103,23 @@ def page_inventory(pages: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("record_count"))
 
 
+def page_checksums(spark: SparkSession, files: str) -> DataFrame:
+    """Path, size and SHA-256 of the bytes of each file; ``files`` may hold wildcards.
+
+    A file is read as one row, which the page size bounds, and digested where it lies.
+    """
+    return (
+        spark.read.format("binaryFile")
+        .load(files)
+        .select(
+            F.col("path").alias("object_path"),
+            F.element_at(F.split("path", "/"), -1).alias("file_name"),
+            F.col("length").alias("file_size_bytes"),
+            F.sha2("content", 256).alias("checksum_sha256"),
+        )
+    )
+
+
 def summarize_inventory(inventory: DataFrame) -> DataFrame:
     """One row: pages and records."""
     return inventory.agg(
