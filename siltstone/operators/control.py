@@ -11,7 +11,7 @@ from siltstone import values as V
 from siltstone.functions.measures import seconds_between
 from siltstone.functions.predicates import holds
 from siltstone.operators.merge import upsert
-from siltstone.operators.skew import salted_lookup
+from siltstone.operators.skew import heavy_keys, is_heavy, lookup
 
 REJECTED = "REJECTED"
 ADVANCE = "ADVANCE"
@@ -19,6 +19,9 @@ ALREADY_FINALIZED = "ALREADY_FINALIZED"
 MARK_FAILED = "MARK_FAILED"
 ALREADY_FAILED = "ALREADY_FAILED"
 
+#: For the few rows of single requests and reports, which need no measuring.
+NONE_HEAVY: dict[str, list] = {"pipeline_run_id": [], "dataset_id": []}
+
 
 def choose_load_mode(changed: int, total: int) -> str:
     """Load mode of one change window; counts that cannot be are an error."""
@@ -58,7 +61,7 @@ def load_modes(
     known = watermarks.select(dataset, "watermark_value")
     changed = F.col(updated_at) > F.col("watermark_value")
     windows = (
-        salted_lookup(source.select(dataset, updated_at), known, dataset)
+        lookup(source.select(dataset, updated_at), known, dataset)
         .groupBy(dataset)
         .agg(
             F.count(F.lit(1)).alias("source_record_count"),
@@ -275,13 +278,18 @@ def register_files(ledger: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def run_summary(
-    runs: DataFrame, batches: DataFrame, watermarks: DataFrame, now: Column | None = None
+    runs: DataFrame,
+    batches: DataFrame,
+    watermarks: DataFrame,
+    now: Column | None = None,
+    heavy: dict[str, list] | None = None,
 ) -> DataFrame:
     """Runs with their batches and the watermark of the batch's dataset.
 
-    Runs with batches come from an inner join and runs without from an anti join,
-    in place of one outer join, whose batch side could not be split if one run held
-    very many of the batches.
+    An outer join cannot split its batch side if one run holds very many of the
+    batches. Such runs are measured beforehand; their few rows are broadcast to the
+    batches, and all others take the outer join, which reads and shuffles each side
+    once.
     """
     end = F.coalesce("finished_at", F.current_timestamp() if now is None else now)
     run_columns = runs.select(
@@ -315,14 +323,26 @@ def run_summary(
         "watermark_value",
         "last_successful_pipeline_run_id",
     )
-    with_batch = run_columns.join(batch_columns, "pipeline_run_id")
-    batched = batch_columns.select("pipeline_run_id").distinct()
-    without = run_columns.join(batched, "pipeline_run_id", "left_anti")
+    if heavy is None:
+        heavy = heavy_keys(batches, "pipeline_run_id", "dataset_id")
+    hot_runs = [run for run in heavy["pipeline_run_id"] if run is not None]
+    hot = is_heavy("pipeline_run_id", hot_runs)
+    with_batch = run_columns.filter(~hot).join(
+        batch_columns.filter(~hot), "pipeline_run_id", "left"
+    )
+    if hot_runs:
+        # One row a run: at most as many as there can be heavy ones. Each has batches.
+        few = F.broadcast(run_columns.filter(hot))
+        with_batch = with_batch.unionByName(
+            batch_columns.filter(hot)
+            .join(few, "pipeline_run_id")
+            .select(with_batch.columns)
+        )
     last = F.col("last_successful_pipeline_run_id") == F.col("pipeline_run_id")
-    return (
-        with_batch.join(marks, "dataset_id", "left")
-        .unionByName(without, allowMissingColumns=True)
-        .withColumn("is_last_successful_run", holds(last))
+    # Runs without a batch have a NULL dataset, like many rows of one key.
+    datasets = [*heavy["dataset_id"], None] if heavy["dataset_id"] else []
+    return lookup(with_batch, marks, "dataset_id", datasets).withColumn(
+        "is_last_successful_run", holds(last)
     )
 
 
@@ -336,11 +356,13 @@ def latest_runs(
     """The first rows of the run summary: runs not started, then newest first.
 
     Every run has at least one row, so the newest runs are picked before the join
-    and only their batches take part in it.
+    and only their batches, found by their few ids, take part in it.
     """
     newest = runs.orderBy(F.desc_nulls_first("started_at"), "pipeline_run_id").limit(rows)
+    wanted = F.broadcast(newest.select("pipeline_run_id"))
+    theirs = batches.join(wanted, "pipeline_run_id", "left_semi")
     return (
-        run_summary(newest, batches, watermarks, now)
+        run_summary(newest, theirs, watermarks, now, NONE_HEAVY)
         .orderBy(
             F.desc_nulls_first("pipeline_started_at"),
             "pipeline_run_id",
@@ -351,7 +373,10 @@ def latest_runs(
 
 
 def watermark_decisions(
-    requests: DataFrame, runs: DataFrame, watermarks: DataFrame
+    requests: DataFrame,
+    runs: DataFrame,
+    watermarks: DataFrame,
+    heavy: dict[str, list] | None = None,
 ) -> DataFrame:
     """What to do with each request to finish a run and advance its watermark.
 
@@ -369,6 +394,8 @@ def watermark_decisions(
         "last_successful_pipeline_run_id",
         F.lit(True).alias("_mark"),
     )
+    if heavy is None:
+        heavy = heavy_keys(requests, "pipeline_run_id", "dataset_id")
     current, end = F.col("current_watermark"), F.col("window_end")
     finished = holds(
         (F.col("run_status") == V.SUCCESS)
@@ -384,10 +411,11 @@ def watermark_decisions(
         .otherwise(ADVANCE)
     )
     return (
-        salted_lookup(
-            requests.join(run_state, "pipeline_run_id", "left"),
+        lookup(
+            lookup(requests, run_state, "pipeline_run_id", heavy["pipeline_run_id"]),
             mark_state,
             "dataset_id",
+            heavy["dataset_id"],
         ).select(
             "pipeline_run_id",
             "dataset_id",

@@ -272,7 +272,7 @@ def finish_run(lake: Lake, run_id: str, dataset_id: str, window_end: datetime) -
     )
     marks = lake.control_watermarks().filter(F.col("dataset_id") == dataset_id)
     runs = lake.control_runs().filter(F.col("pipeline_run_id") == run_id)
-    decisions = control.watermark_decisions(request, runs, marks)
+    decisions = control.watermark_decisions(request, runs, marks, control.NONE_HEAVY)
     decided = decisions.first()
     decision = decided["decision"]
     if decision == control.ADVANCE:

@@ -5,9 +5,10 @@ from datetime import date
 from compare import plan, rows
 from pyspark.sql import functions as F
 
+from siltstone import schemas
 from siltstone import values as V
 from siltstone.operators import control, merge, profile, reconcile, staging
-from siltstone.operators.skew import salted_lookup
+from siltstone.operators.skew import heavy_keys, is_heavy, lookup
 from siltstone.registry.queries import QUERIES
 from siltstone.sources import changes, landing
 from siltstone.sources.tables import VersionedTable, partition_stats, with_year_range
@@ -111,12 +112,76 @@ def test_hot_and_missing_keys_are_exact(spark):
     assert summary["timestamp_mismatches"] == 0
 
 
-def test_salted_lookup_is_a_left_join(spark):
-    df = hot(spark)
+def half_hot(spark):
+    """Half the rows hold one key, a tenth none, the others a key of their own."""
+    number = F.col("id")
+    return spark.range(4000, numPartitions=4).select(
+        F.when(number % 2 == 0, "hot").when(number % 10 != 1, number.cast("string")).alias(KEY),
+        number.alias("v"),
+    )
+
+
+def test_heavy_keys_are_measured(spark):
+    df = half_hot(spark)
+    found = heavy_keys(df, KEY, "v", share=0.01)
+    assert found == {KEY: ["hot", None], "v": []}
+    assert df.filter(is_heavy(KEY, found[KEY])).count() == 2400
+    assert df.filter(is_heavy(KEY, ["hot"])).count() == 2000
+    assert df.filter(~is_heavy(KEY, [])).count() == 4000
+    assert heavy_keys(df.limit(0), KEY) == {KEY: []}
+
+
+def test_lookup_is_a_left_join_without_copies(spark, no_auto_broadcast):
+    df = half_hot(spark)
     names = spark.createDataFrame([("hot", 1), ("7", 2), ("unused", 3)], f"{KEY} string, n int")
-    salted = salted_lookup(df, names, KEY, salts=4)
     plain = df.join(names, KEY, "left")
-    assert rows(salted.select(plain.columns)) == rows(plain)
+    for heavy in (None, [], ["hot"], ["hot", None], [None]):
+        found = lookup(df, names, KEY, heavy)
+        assert rows(found.select(plain.columns)) == rows(plain)
+    text = plan(lookup(df, names, KEY))
+    assert "Generate" not in text and "explode" not in text
+    assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+
+
+def test_a_run_with_half_of_the_batches(spark, no_auto_broadcast):
+    number = F.col("id")
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in schemas.EXTRACT_BATCH}
+    batches = spark.range(2000).select(
+        *[
+            column.alias(name)
+            for name, column in {
+                **empty,
+                "extract_batch_id": number.cast("string"),
+                "pipeline_run_id": F.when(number % 2 == 0, "hot").otherwise(
+                    (number % 700).cast("string")
+                ),
+                "dataset_id": F.when(number % 3 == 0, "big").otherwise("d"),
+            }.items()
+        ]
+    )
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in schemas.PIPELINE_RUN}
+    runs = spark.range(600).select(
+        *[
+            column.alias(name)
+            for name, column in {
+                **empty,
+                "pipeline_run_id": F.when(number == 0, "hot").otherwise(
+                    number.cast("string")
+                ),
+            }.items()
+        ]
+    )
+    marks = spark.createDataFrame([("big", "c", None, "hot", None)], schemas.WATERMARK)
+    found = control.run_summary(runs, batches, marks)
+    plainly = control.run_summary(runs, batches, marks, heavy=control.NONE_HEAVY)
+    assert rows(found.select("pipeline_run_id", "extract_batch_id", "watermark_column")) == rows(
+        plainly.select("pipeline_run_id", "extract_batch_id", "watermark_column")
+    )
+    of_hot = found.filter("pipeline_run_id = 'hot'")
+    assert of_hot.count() == 1000
+    assert of_hot.filter("is_last_successful_run").count() == 334
+    text = plan(found)
+    assert "Generate" not in text and "BroadcastHashJoin" in text
 
 
 def test_load_modes_with_a_hot_dataset(spark):
