@@ -1,9 +1,10 @@
 """Data-quality checks. Each returns violations or one summary row."""
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from siltstone.operators.marts import TREND_MEASURES
@@ -63,6 +64,60 @@ def accepted_values(df: DataFrame, column: str, accepted: Sequence) -> DataFrame
     )
 
 
+@dataclass(frozen=True)
+class ModelTests:
+    """Declared tests of one table."""
+
+    not_null: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
+    accepted: tuple[tuple[str, tuple], ...] = ()
+    sums: tuple[str, ...] = ()
+
+
+def model_profile(df: DataFrame, tests: ModelTests) -> DataFrame:
+    """All that the declared tests need, as one row from one scan.
+
+    ``null_``, ``repeated_`` and ``outside_`` count violations, ``sum_`` are totals.
+    Each tested key is shuffled once, by the distinct count that all its tests share;
+    every other measure is combined in the map tasks.
+    """
+    measures = [F.count(F.lit(1)).alias("rows")]
+    for name in tests.not_null:
+        measures.append(F.count_if(F.col(name).isNull()).alias(f"null_{name}"))
+    for name in tests.unique:
+        extra = F.count(name) - F.count_distinct(name)
+        measures.append(extra.alias(f"repeated_{name}"))
+    for name, accepted in tests.accepted:
+        outside = F.count_if(~F.col(name).isin(*accepted))
+        measures.append(outside.alias(f"outside_{name}"))
+    for name in tests.sums:
+        measures.append(F.sum(name).alias(f"sum_{name}"))
+    return df.agg(*measures)
+
+
+def model_violations(df: DataFrame, tests: ModelTests, profile: Row) -> list[str]:
+    """The failed tests of a profile with a few of the rows behind each.
+
+    The table is read again only for tests that failed.
+    """
+    found = []
+
+    def report(text: str, rows: DataFrame) -> None:
+        shown = "; ".join(str(row.asDict()) for row in rows.limit(5).collect())
+        found.append(f"{text} {shown}")
+
+    for name in tests.not_null:
+        if profile[f"null_{name}"]:
+            found.append(f"NULL in {name}: {profile[f'null_{name}']} rows.")
+    for name in tests.unique:
+        if profile[f"repeated_{name}"]:
+            report(f"Repeated {name}.", unique(df, name))
+    for name, accepted in tests.accepted:
+        if profile[f"outside_{name}"]:
+            report(f"Unknown {name}.", accepted_values(df, name, accepted))
+    return found
+
+
 def totals(fact: DataFrame, mart: DataFrame, measure: str = "incident_count") -> DataFrame:
     """The total of one measure in fact and mart, side by side."""
     total = F.sum(measure).alias("incidents")

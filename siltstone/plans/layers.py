@@ -10,7 +10,7 @@ from siltstone import values as V
 from siltstone.operators import deltas, marts, merge, quality, staging
 from siltstone.operators.control import manifest_gate
 from siltstone.operators.deltas import Changes
-from siltstone.operators.quality import QualityError, require_empty
+from siltstone.operators.quality import ModelTests, QualityError, require_empty
 from siltstone.operators.standardize import enrich, incident_fact, standardize
 from siltstone.plans.lake import Lake
 from siltstone.plans.touched import merge_touched, replaced_keys
@@ -264,21 +264,31 @@ def refresh(lake: Lake, changes: Changes | None = None) -> dict[str, str]:
     return done
 
 
+SILVER_TESTS = ModelTests(
+    not_null=(V.ROW_ID, V.BUSINESS_KEY), unique=(V.ROW_ID, V.BUSINESS_KEY)
+)
+FACT_TESTS = ModelTests(
+    not_null=(V.BUSINESS_KEY, "incident_count"),
+    unique=(V.BUSINESS_KEY,),
+    accepted=(("incident_count", (1,)),),
+    sums=("incident_count",),
+)
+
+
 def check_models(lake: Lake) -> None:
-    """The model tests: keys, constants, totals and balances."""
-    clean, fact = lake.silver.read(), lake.fact.read()
-    keys = [V.ROW_ID, V.BUSINESS_KEY]
-    require_empty(quality.not_null(clean, keys), "NULL keys.")
-    require_empty(
-        quality.not_null(fact, [V.BUSINESS_KEY, "incident_count"]), "NULL in the fact."
-    )
-    for name in keys:
-        require_empty(quality.unique(clean, name), f"Repeated {name}.")
-    require_empty(quality.unique(fact, V.BUSINESS_KEY), "Repeated key in the fact.")
-    require_empty(
-        quality.accepted_values(fact, "incident_count", [1]), "Unknown incident_count."
-    )
-    require_empty(quality.totals_differ(fact, lake.trends.read()), "Totals differ.")
+    """The model tests: keys, constants, totals and balances; one scan a table."""
+    problems = []
+    for table, tests in ((lake.silver, SILVER_TESTS), (lake.fact, FACT_TESTS)):
+        rows = table.read()
+        profile = quality.model_profile(rows, tests).first()
+        problems += quality.model_violations(rows, tests, profile)
+    incidents = lake.trends.read().agg(F.sum("incident_count")).first()[0]
+    if incidents != profile["sum_incident_count"]:
+        problems.append(
+            f"Totals differ: fact {profile['sum_incident_count']}, mart {incidents}."
+        )
+    if problems:
+        raise QualityError(" ".join(problems))
     require_empty(
         quality.clearance_imbalance(lake.rates.read()), "Clearance counts do not add up."
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siltstone import schemas
 from siltstone import values as V
 from siltstone.functions.parsing import instant_of
-from siltstone.operators import control, reconcile
+from siltstone.operators import control, fingerprints, reconcile
 from siltstone.operators.quality import require_empty
 from siltstone.plans.lake import Lake
 from siltstone.sources import changes, landing
@@ -72,13 +72,19 @@ def check_landed_keys(lake: Lake, prefix: str, run_id: str) -> None:
 
 
 def compare_keys(lake: Lake, prefix: str, *, json_lines: bool = True) -> Reconciliation:
-    """Compare a landed key snapshot with the base table."""
+    """Compare a landed key snapshot with the base table, which holds a key once.
+
+    Ranges of keys whose fingerprints agree are counted and not opened.
+    """
     landed = landing.scan_batch(
         lake.spark, prefix, schemas.RAW_KEYS, json_lines=json_lines
     ).withColumnsRenamed(V.SYSTEM_COLUMNS)
+    opened = fingerprints.differing(*_key_columns(landed, lake.bronze.read()))
     # Written once: the counts and each drill-down read it again.
-    states = staged(reconcile.key_states(landed, lake.bronze.read()), "key-states")
-    summary = reconcile.reconcile_summary(states)
+    states = staged(reconcile.key_states(opened[0], opened[1]), "key-states")
+    summary = fingerprints.with_equal_rows(
+        reconcile.reconcile_summary(states), opened[2]
+    )
     return Reconciliation(
         summary=summary.first(),
         missing_from_target=reconcile.missing_from_target(states),
@@ -87,6 +93,10 @@ def compare_keys(lake: Lake, prefix: str, *, json_lines: bool = True) -> Reconci
     )
 
 
+def _key_columns(*sides: DataFrame) -> list[DataFrame]:
+    return [df.select(V.BUSINESS_KEY, V.UPDATED_AT) for df in sides]
+
+
 def require_agreement(lake: Lake, result: Reconciliation) -> None:
     summary = lake.spark.range(1).select(
         *[F.lit(value).alias(name) for name, value in result.summary.asDict().items()]

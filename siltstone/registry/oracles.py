@@ -858,3 +858,27 @@ ORACLES: dict[str, str] = {
 # The same results reached by events.
 ORACLES["file_ledger_events"] = ORACLES["file_ledger_upsert"]
 ORACLES["run_closing_events"] = ORACLES["run_closing"]
+ORACLES["reconcile_by_ranges"] = ORACLES["reconcile_summary"]
+ORACLES["mismatch_by_ranges"] = ORACLES["timestamp_mismatch"]
+ORACLES["model_tests"] = f"""WITH {FACT},
+    keys AS (SELECT incident_report_number, count(*) AS n FROM fact GROUP BY 1),
+    blocks AS (SELECT census_block_group, count(*) AS n FROM fact GROUP BY 1)
+    SELECT count(*) AS rows,
+      sum(CASE WHEN incident_report_number IS NULL THEN 1 ELSE 0 END)::BIGINT
+        AS null_incident_report_number,
+      sum(CASE WHEN incident_count IS NULL THEN 1 ELSE 0 END)::BIGINT
+        AS null_incident_count,
+      sum(CASE WHEN crime_type IS NULL THEN 1 ELSE 0 END)::BIGINT AS null_crime_type,
+      sum(CASE WHEN council_district IS NULL THEN 1 ELSE 0 END)::BIGINT
+        AS null_council_district,
+      (SELECT sum(n - 1) FROM keys WHERE incident_report_number IS NOT NULL)::BIGINT
+        AS repeated_incident_report_number,
+      (SELECT sum(n - 1) FROM blocks WHERE census_block_group IS NOT NULL)::BIGINT
+        AS repeated_census_block_group,
+      sum(CASE WHEN incident_count <> 1 THEN 1 ELSE 0 END)::BIGINT
+        AS outside_incident_count,
+      sum(CASE WHEN clearance_status NOT IN ('C', 'N') THEN 1 ELSE 0 END)::BIGINT
+        AS outside_clearance_status,
+      sum(incident_count)::BIGINT AS sum_incident_count,
+      sum(reporting_delay_days)::BIGINT AS sum_reporting_delay_days
+    FROM fact"""

@@ -14,6 +14,7 @@ from siltstone.operators import (
     charts,
     control,
     deltas,
+    fingerprints,
     marts,
     merge,
     profile,
@@ -655,6 +656,25 @@ def reconcile_summary(spark, sf_dir):
     return reconcile.reconcile_summary(_key_states(spark, sf_dir))
 
 
+def _opened_states(spark, sf_dir):
+    source, target, equal = fingerprints.differing(
+        given.source_keys(spark, sf_dir), given.table_keys(spark, sf_dir)
+    )
+    return reconcile.key_states(source, target), equal
+
+
+@query
+def reconcile_by_ranges(spark, sf_dir):
+    """The same summary from the key ranges whose fingerprints differ."""
+    states, equal = _opened_states(spark, sf_dir)
+    return fingerprints.with_equal_rows(reconcile.reconcile_summary(states), equal)
+
+
+@query
+def mismatch_by_ranges(spark, sf_dir):
+    return reconcile.timestamp_mismatches(_opened_states(spark, sf_dir)[0])
+
+
 @query
 def reconcile_profile(spark, sf_dir):
     """The same summary when the source repeats keys and has NULL keys."""
@@ -751,6 +771,18 @@ def dq_accepted_values(spark, sf_dir):
     )
 
 
+@query
+def model_tests(spark, sf_dir):
+    """Null, repeated and unknown values and totals of the fact, from one scan."""
+    tests = quality.ModelTests(
+        not_null=(V.BUSINESS_KEY, "incident_count", "crime_type", "council_district"),
+        unique=(V.BUSINESS_KEY, "census_block_group"),
+        accepted=(("incident_count", (1,)), ("clearance_status", ("C", "N"))),
+        sums=("incident_count", "reporting_delay_days"),
+    )
+    return quality.model_profile(given.fact(spark, sf_dir), tests)
+
+
 @query
 def totals_match(spark, sf_dir):
     sums = quality.totals(given.fact(spark, sf_dir), given.trends(spark, sf_dir))
