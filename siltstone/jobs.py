@@ -11,7 +11,8 @@ from siltstone.plans import layers, reconciliation, runs
 from siltstone.plans.lake import Lake
 from siltstone.session import build_session
 from siltstone.sources import landing
-from siltstone.sources.tables import partition_stats, preview
+from siltstone.sources.expiry import expire
+from siltstone.sources.tables import partition_stats, preview, release_staged
 
 
 def bronze(lake: Lake, args) -> None:
@@ -103,6 +104,11 @@ def daily(lake: Lake, args) -> None:
     )
 
 
+def expire_tables(lake: Lake, args) -> None:
+    for name, table in lake.tables().items():
+        print(f"{name}: {len(expire(table, args.keep))} folders deleted")
+
+
 def history(lake: Lake, args) -> None:
     runs.recent_runs(lake).show(truncate=False)
 
@@ -117,6 +123,9 @@ def _parser() -> argparse.ArgumentParser:
     jobs = parser.add_subparsers(required=True)
     for job in (silver, gold, models, validate, inspect, history):
         jobs.add_parser(job.__name__).set_defaults(job=job)
+    command = jobs.add_parser("expire")
+    command.set_defaults(job=expire_tables)
+    command.add_argument("--keep", type=int, default=7)
     for job in (bronze, inspect_raw, reconcile, daily):
         command = jobs.add_parser(job.__name__.replace("_", "-"))
         command.set_defaults(job=job)
@@ -148,4 +157,5 @@ def main(argv: list[str] | None = None) -> None:
         # Names given before follow the tables that the job wrote.
         lake.publish(only_named=True)
     finally:
+        release_staged(spark)
         spark.stop()

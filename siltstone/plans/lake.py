@@ -94,18 +94,20 @@ class Lake:
         ``only_named`` renews the names that exist already.
         """
         names = []
-        for table in vars(self).values():
-            if isinstance(table, TABLES) and table.exists():
-                namespace, name = table.path.split("/")[-2:]
-                if only_named and not self.spark.catalog.tableExists(
-                    f"{namespace}.{name}"
-                ):
-                    continue
-                ensure_namespace(self.spark, namespace)
-                publish(table, f"{namespace}.{name}")
-                names.append(f"{namespace}.{name}")
+        for name, table in self.tables().items():
+            if only_named and not self.spark.catalog.tableExists(name):
+                continue
+            if table.exists():
+                ensure_namespace(self.spark, name.split(".")[0])
+                publish(table, name)
+                names.append(name)
         return names
 
+    def tables(self) -> dict[str, VersionedTable | PartTable | EventTable]:
+        """Every table by its name in the catalog."""
+        found = [t for t in vars(self).values() if isinstance(t, TABLES)]
+        return {".".join(t.path.split("/")[-2:]): t for t in found}
+
 
 def one_row(spark: SparkSession, schema: T.StructType, **values) -> DataFrame:
     """A row of the given schema; fields without a value are NULL."""

@@ -882,3 +882,5 @@ ORACLES["model_tests"] = f"""WITH {FACT},
       sum(incident_count)::BIGINT AS sum_incident_count,
       sum(reporting_delay_days)::BIGINT AS sum_reporting_delay_days
     FROM fact"""
+ORACLES["version_diff"] = ORACLES["snapshot_diff"]
+ORACLES["keyset_page_directory"] = ORACLES["keyset_page"]

@@ -27,6 +27,7 @@ from siltstone.plans.touched import merge_touched, replaced_keys
 from siltstone.registry import inputs as given
 from siltstone.sources import changes, landing
 from siltstone.sources.events import EventTable
+from siltstone.sources.pages import KeyPages
 from siltstone.sources.parts import PartTable
 from siltstone.sources.tables import (
     VersionedTable,
@@ -276,6 +277,14 @@ def keyset_page(spark, sf_dir):
     return changes.keyset_page(orders, F.col("o_orderkey"), after=999)
 
 
+@query
+def keyset_page_directory(spark, sf_dir):
+    """The same page from the files that the directory names for it."""
+    pages = KeyPages(spark, given.fresh_path(spark, "by-key"), "o_orderkey")
+    pages.write(given.table(spark, sf_dir, "orders"), page_size=1000)
+    return pages.page(after=999)
+
+
 @query
 def key_snapshot(spark, sf_dir):
     orders = given.table(spark, sf_dir, "orders")
@@ -502,6 +511,21 @@ def snapshot_diff(spark, sf_dir):
     )
 
 
+@query
+def version_diff(spark, sf_dir):
+    """The same difference between two stored versions, by the parts that differ."""
+    table = _in_parts(spark, given.base_incidents(spark, sf_dir))
+    table.replace(given.later_snapshot(spark, sf_dir))
+    return merge.version_diff(
+        table,
+        1,
+        2,
+        V.BUSINESS_KEY,
+        ["crime_type", "occ_date", "clearance_status", "council_district", "sector"],
+        [V.UPDATED_AT, V.VERSION, V.ROW_ID],
+    )
+
+
 # Typed layer, fact and marts
 
 

@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 
 from siltstone import schemas
 from siltstone.session import shared_dir
+from siltstone.sources.files import delete
 
 APPEND = "append"
 OVERWRITE = "overwrite"
 
+#: Folders that this process staged and has not released.
+_STAGED: list[str] = []
+
 
 def write_by_year(df: DataFrame, path: str, date_column: str, year_column: str) -> None:
     """Parquet partitioned by the year of a date.
@@ -72,10 +76,22 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/siltstone/{purpose}-{uuid.uuid4().hex}"
+    _STAGED.append(folder)
     df.write.parquet(folder)
     return spark.read.parquet(folder)
 
 
+def release_staged(spark: SparkSession) -> int:
+    """Delete what this process staged; returns the number of folders.
+
+    For the end of a job: results that still read staged rows are lost.
+    """
+    released = 0
+    while _STAGED:
+        released += delete(spark, _STAGED.pop())
+    return released
+
+
 class VersionedTable:
     """A Parquet table whose whole content is replaced by each commit.
 
