@@ -16,16 +16,28 @@ def parse_instant(text: Column) -> Column:
 
 
 def parse_local_time(text: Column) -> Column:
-    """Wall-clock text without a zone; runs of white space count as one space."""
+    """Wall-clock text without a zone; runs of white space count as one space.
+
+    Made from its numbers, so a time that the session's zone skips stays what it is.
+    """
     one_spaced = F.regexp_replace(F.trim(text), r"\s+", " ")
-    parsed = F.try_to_timestamp(one_spaced, F.lit(V.LOCAL_TIME_TEXT))
-    return parsed.cast("timestamp_ntz")
+
+    def number(group: int) -> Column:
+        found = F.regexp_extract(one_spaced, V.LOCAL_TIME_PATTERN, group)
+        return F.nullif(found, F.lit("")).cast("int")
+
+    month, day, year, hour, minute = (number(group) for group in range(1, 6))
+    return F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
 
 
 def parse_whole_number(text: Column, to: str = "integer") -> Column:
-    """Integer text; a decimal fraction is cut off ("7.0" is 7), other text NULL."""
+    """Integer text; a decimal fraction is cut off, other text NULL.
+
+    "7.0" is 7, and a fraction without digits before it, ".5" or ".", is 0.
+    """
     whole = F.regexp_replace(text, r"^(\s*[+-]?\d+)\.\d*\s*$", "$1")
-    return whole.try_cast(to)
+    bare = whole.rlike(r"^\s*[+-]?\.\d*\s*$")
+    return F.when(bare, F.lit(0).cast(to)).otherwise(whole.try_cast(to))
 
 
 def iso_millis(instant: Column) -> Column:

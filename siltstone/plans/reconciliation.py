@@ -37,15 +37,13 @@ def land_source_keys(
     bounded = timed.filter(F.col("_time") <= F.lit(total["max_updated_at"]))
     keys = bounded.select(*schemas.RAW_KEYS.fieldNames())
     landing.write_pages(keys, prefix, [V.BUSINESS_KEY, ":id"])
-    pages = landing.scan_batch(spark, prefix, schemas.RAW_KEYS, json_lines=True)
-    inventory = landing.page_inventory(pages)
-    manifest = landing.build_manifest(
-        inventory,
+    landing.write_manifest(
+        spark,
+        prefix,
         run={"run_id": run_id, "dataset_id": dataset_id},
         expected=total["record_count"],
         source_records=total["record_count"],
     )
-    landing.write_manifest(manifest, inventory, prefix)
     return {
         "run_id": run_id,
         "prefix": prefix,
@@ -56,7 +54,7 @@ def land_source_keys(
 
 def check_landed_keys(lake: Lake, prefix: str, run_id: str) -> None:
     """The pages on storage are those the manifest lists, in number and size."""
-    pages = landing.scan_batch(lake.spark, prefix, schemas.RAW_KEYS, json_lines=True)
+    pages = landing.page_lines(lake.spark, prefix)
     manifest = landing.scan_manifest(lake.spark, prefix)
     require_empty(
         manifest.filter(~F.col("run_id").eqNullSafe(F.lit(run_id))),

@@ -202,12 +202,13 @@ def _land_batch(
     """
     try:
         landing.write_pages(rows, prefix, SOURCE_ORDER)
-        pages = landing.scan_batch(lake.spark, prefix, rows.schema, json_lines=True)
-        inventory = landing.page_inventory(pages)
-        manifest = landing.build_manifest(
-            inventory, run=run, expected=expected, source_records=source_records
+        landing.write_manifest(
+            lake.spark,
+            prefix,
+            run=run,
+            expected=expected,
+            source_records=source_records,
         )
-        landing.write_manifest(manifest, inventory, prefix)
         digests = _page_checksums(lake, prefix).select("file_name", "checksum_sha256")
         listed = landing.scan_entries(lake.spark, prefix)
         entries = listed.join(digests, "file_name", "left").select(

@@ -81,15 +81,13 @@ def _landed_events(spark, sf_dir):
     prefix = given.fresh_path(spark, "events")
     rows = given.table(spark, sf_dir, "events")
     landing.write_pages(rows, prefix, ["ts", "event_id"])
-    pages = landing.scan_batch(spark, prefix, rows.schema, json_lines=True)
-    inventory = landing.page_inventory(pages)
-    manifest = landing.build_manifest(
-        inventory,
+    landing.write_manifest(
+        spark,
+        prefix,
         run={"run_id": given.RUN_ID, "dataset_id": "events"},
         expected=rows.count(),
         source_records=rows.count(),
     )
-    landing.write_manifest(manifest, inventory, prefix)
     return prefix
 
 

@@ -95,6 +95,11 @@ def write_pages(
     )
 
 
+def page_lines(spark: SparkSession, prefix: str) -> DataFrame:
+    """The lines of pages with one record a line, not parsed: enough to count them."""
+    return spark.read.text(f"{prefix.rstrip('/')}/{PAGES_GLOB}")
+
+
 def page_inventory(pages: DataFrame) -> DataFrame:
     """What is on storage: one row per page file with record count and size."""
     return pages.groupBy(
@@ -183,9 +188,16 @@ def build_manifest(
     return filled.select("*", *texts).select(*[f.name for f in header])
 
 
-def write_manifest(manifest: DataFrame, inventory: DataFrame, prefix: str) -> None:
-    """Written after the pages, the header last: it marks the batch as complete."""
+def write_manifest(spark: SparkSession, prefix: str, **header) -> None:
+    """List the pages under a prefix and sum the list up in a header.
+
+    Written after the pages, the header last: it marks the batch as complete. The
+    pages are read once, as lines, and the header is made from the written list.
+    ``header`` goes to ``build_manifest``.
+    """
     folder = prefix.rstrip("/")
+    inventory = page_inventory(page_lines(spark, prefix))
     stated = inventory.select("file_name", "record_count", "file_size_bytes")
     stated.write.json(f"{folder}/{ENTRIES_FOLDER}")
+    manifest = build_manifest(scan_entries(spark, prefix), **header)
     manifest.coalesce(1).write.json(f"{folder}/{MANIFEST_FOLDER}")

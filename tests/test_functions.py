@@ -35,9 +35,24 @@ def test_local_times(spark):
         "\t08/01/2026 05:07",
         "8/1/2026 5:07",
         "",
+        "02/30/2026 05:07",
+        "08/01/2026 24:00",
+        "08/01/2026 05:07x",
+        None,
     )
     moment = datetime(2026, 8, 1, 5, 7)
-    assert apply(df, parsing.parse_local_time(F.col("t"))) == [moment, moment, None, None, None]
+    assert apply(df, parsing.parse_local_time(F.col("t"))) == [moment, moment, *[None] * 7]
+
+
+def test_local_times_do_not_depend_on_the_session_zone(spark):
+    """02:30 does not exist on that day in Chicago."""
+    df = texts(spark, "03/08/2026 02:30")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        found = apply(df, parsing.parse_local_time(F.col("t")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == [datetime(2026, 3, 8, 2, 30)]
 
 
 def test_whole_numbers(spark):
@@ -45,6 +60,10 @@ def test_whole_numbers(spark):
     assert apply(df, parsing.parse_whole_number(F.col("t"))) == [
         7, 7, 7, -3, None, None, None, None, None,
     ]
+    df = texts(spark, ".5", ".", "-.9", " +. ", "5.", "..", "+", ".x")
+    assert apply(df, parsing.parse_whole_number(F.col("t"))) == [
+        0, 0, 0, 0, 5, None, None, None,
+    ]
 
 
 def test_flags_are_three_valued(spark):

@@ -1,6 +1,8 @@
 import json
 
+import pytest
 from compare import rows
+from pyspark.errors import StreamingQueryException
 from test_fixture_replay import FIRST, INCREMENTAL, INITIAL, land
 
 from siltstone import values as V
@@ -64,3 +66,16 @@ def test_partial_runs_wait_and_snapshots_replace(spark, tmp_path):
     path.write_text(json.dumps(manifest))
     stream(lake, tmp_path, reports)
     assert stored(lake) == [("FIXTURE-100", "1")]
+    # The other layout of a manifest, with a right count and with a wrong one.
+    for name, count, rows_left in (("d_same", 2, 2), ("e_wrong", 3, 2)):
+        land(tmp_path / "raw", name, INITIAL)
+        path = tmp_path / "raw" / name / "manifest.json"
+        manifest = json.loads(path.read_text()) | {"load_mode": V.FULL_SNAPSHOT}
+        del manifest["extracted_record_count"]
+        path.write_text(json.dumps(manifest | {"records_downloaded": count}))
+        if count == 2:
+            stream(lake, tmp_path, reports)
+        else:
+            with pytest.raises(StreamingQueryException, match="matching SUCCESS manifest"):
+                stream(lake, tmp_path, reports)
+        assert len(stored(lake)) == rows_left
