@@ -9,7 +9,6 @@ and their pieces dealt anew into as many blocks as they need, until one block is
 or packing them again saves no sequence.
 """
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,18 +29,13 @@ BLOCK_PIECES = 4000
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2, 2, 3, 3
 #: A bin is passed on whole by crossover, and kept at the end, from this fill on.
 FULL = 0.98
-CACHED_UNITS = 400_000
-
-#: A space between two characters that are not white space always begins a token.
-_UNITS = re.compile(r"(?<=\S)(?= \S)")
 
 
 def _encoder(tokenizer: str):
     """``text -> little-endian unsigned 32-bit ids``, of one task.
 
-    Uses the byte-pair ranks of the same vocabulary and remembers the ids of the
-    stretches between spaces; a text that holds the special token goes through the
-    tokenizer file itself.
+    Uses the byte-pair ranks of the same vocabulary, whose ids come as one buffer; a
+    text that holds the special token goes through the tokenizer file itself.
     """
     import base64
 
@@ -58,7 +52,6 @@ def _encoder(tokenizer: str):
         special_tokens={},
     )
     whole = []
-    known: dict[str, bytes] = {}
 
     def encode(text: str) -> bytes:
         if END in text:
@@ -67,12 +60,7 @@ def _encoder(tokenizer: str):
                 whole.append(Tokenizer.from_file(path))
             ids = whole[0].encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes()
-        if len(known) > CACHED_UNITS:
-            known.clear()
-        units = _UNITS.split(text)
-        for unit in set(units).difference(known):
-            known[unit] = np.array(fast.encode_ordinary(unit), "<u4").tobytes()
-        return b"".join(map(known.__getitem__, units))
+        return fast.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 
     return encode
 
