@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import staged, texts_of
@@ -29,9 +29,9 @@ COMMON, SHARED = 2000, 256
 CLASSES = COMMON + SHARED
 ENDING = 3
 #: Bytes of text in a chunk; a longer text is a chunk by itself.
-CHUNK_BYTES = 5_000_000
+CHUNK_BYTES = 7_500_000
 #: Tokens whose forward variables are held at a time.
-GROUP_TOKENS = 400_000
+GROUP_TOKENS = 200_000
 #: Distinct training texts that give the first emissions, at most.
 SEED_TEXTS = 1000
 #: Weight of the corpus-wide class shares in each state's emissions.
@@ -51,7 +51,7 @@ CODED = (
 
 
 def _packed(numbers: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(numbers.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(numbers.tobytes())
 
 
 def _unpacked(content: bytes, kind: str) -> np.ndarray:
@@ -125,10 +125,6 @@ class Vocabulary:
     class_totals: np.ndarray  # training tokens of each class
     class_distinct: np.ndarray  # distinct training tokens of each class
 
-    def class_of(self, word: bytes) -> int:
-        number = self.common.get(word)
-        return ending_class(word) if number is None else number
-
     def shares(self) -> np.ndarray:
         mass = self.class_totals + 1.0
         return mass / mass.sum()
@@ -138,15 +134,47 @@ def ending_class(word: bytes) -> int:
     return COMMON + zlib.crc32(word[-ENDING:]) % SHARED
 
 
+def _ending_class() -> Column:
+    """``ending_class`` of the column ``word``."""
+    ending = F.substring("word", -ENDING, ENDING)
+    ending = F.when(F.length("word") <= ENDING, F.col("word")).otherwise(ending)
+    return COMMON + F.crc32(ending) % SHARED
+
+
+def _coded_words(entries: DataFrame, counts: DataFrame, vocab: "Vocabulary") -> DataFrame:
+    """For each chunk the places, counts and classes of its words, in one order.
+
+    The common words are broadcast: ``COMMON`` rows at most.
+    """
+    common = entries.sparkSession.createDataFrame(
+        [(word, number) for word, number in vocab.common.items()],
+        "word binary, number int",
+    )
+    return (
+        entries.join(counts, "word", "left")
+        .join(F.broadcast(common), "word", "left")
+        .select(
+            "chunk",
+            "place",
+            F.coalesce("count", F.lit(0)).alias("count"),
+            F.coalesce("number", _ending_class()).cast("int").alias("class"),
+        )
+        .groupBy("chunk")
+        .agg(
+            F.collect_list("place").alias("places"),
+            F.collect_list("count").alias("totals"),
+            F.collect_list("class").alias("kinds"),
+        )
+    )
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """From ``word, count`` of all training tokens; what is collected is bounded."""
     seen = counts.where("count > 0")
     totals = seen.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     top = seen.orderBy(F.desc("count"), "word").limit(COMMON).collect()
     common = {bytes(r["word"]): i for i, r in enumerate(top)}
-    ending = F.substring("word", -ENDING, ENDING)
-    ending = F.when(F.length("word") <= ENDING, F.col("word")).otherwise(ending)
-    by_class = seen.groupBy((COMMON + F.crc32(ending) % SHARED).alias("class"))
+    by_class = seen.groupBy(_ending_class().alias("class"))
     sums = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in by_class.agg(F.sum("count").alias("n"), F.count("*").alias("v")).collect():
         sums[0][r["class"]], sums[1][r["class"]] = r["n"], r["v"]
@@ -164,11 +192,15 @@ def _coder(vocab: Vocabulary):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in _rows(batch):
-                words = row["words"]
-                counts = np.zeros(len(words))
-                counts[np.array(row["places"], np.int64)] = row["totals"]
-                classes = np.fromiter(map(vocab.class_of, words), "<u2", len(words))
+            for number in range(batch.num_rows):
+                one = batch.slice(number, 1)
+                places, totals, kinds = (
+                    one.column(c).flatten().to_numpy() for c in ("places", "totals", "kinds")
+                )
+                counts, classes = np.zeros(len(places)), np.zeros(len(places), "<u2")
+                counts[places], classes[places] = totals, kinds
+                same = ("chunk", "doc_ids", "held", "lengths", "tokens")
+                row = one.select(same).to_pylist()[0]
                 mass = vocab.class_totals[classes] + vocab.class_distinct[classes] + 1
                 within = np.where(classes < COMMON, 0.0, np.log10((counts + 1) / mass))
                 base = np.log10((counts + 1) / unseen)
@@ -180,8 +212,8 @@ def _coder(vocab: Vocabulary):
                     "base": [np.add.reduceat(base[codes], starts)],
                     "known": [np.add.reduceat((counts > 0)[codes].astype(np.int64), starts)],
                 }
-                same = {c: [row[c]] for c in ("chunk", "doc_ids", "held", "lengths")}
-                yield pa.RecordBatch.from_pydict(same | columns, schema=_CODED_TYPE)
+                kept = {c: [row[c]] for c in same[:-1]}
+                yield pa.RecordBatch.from_pydict(kept | columns, schema=_CODED_TYPE)
 
     return run
 
@@ -385,18 +417,9 @@ def score(documents: DataFrame) -> DataFrame:
     counts = entries.groupBy("word").agg(F.sum("n").alias("count"))
     counts = staged(counts.where("count > 0"), "hmm")
     vocab = vocabulary(counts)
-    found = entries.select("chunk", "place", "word").join(counts, "word")
-    found = found.groupBy("chunk").agg(
-        F.collect_list("place").alias("places"), F.collect_list("count").alias("totals")
-    )
-    nothing = F.array().cast("array<int>"), F.array().cast("array<bigint>")
-    joined = chunks.drop("counts").join(found, "chunk", "left")
-    joined = joined.withColumns(
-        {
-            "places": F.coalesce("places", nothing[0]),
-            "totals": F.coalesce("totals", nothing[1]),
-        }
-    )
+    words = _coded_words(entries.drop("n"), counts, vocab)
+    # Every chunk has a word, the end token at least.
+    joined = chunks.drop("words", "counts").join(words, "chunk")
     coded = staged(joined.mapInArrow(_coder(vocab), CODED), "hmm")
     shares = vocab.shares()
     model = _seeded(coded, shares)
