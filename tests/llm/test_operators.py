@@ -33,7 +33,7 @@ def byte_words(text):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert any(n.startswith(f"op{number}_") for n in names)
     assert "pipeline" in names
 
