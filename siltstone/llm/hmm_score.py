@@ -30,8 +30,9 @@ CLASSES = COMMON + SHARED
 ENDING = 3
 #: Bytes of text in a chunk; a longer text is a chunk by itself.
 CHUNK_BYTES = 7_500_000
-#: Tokens whose forward variables are held at a time.
-GROUP_TOKENS = 200_000
+#: Tokens whose forward variables are held at a time. A step of the recursion costs
+#: about the same for few texts as for hundreds, so groups are large.
+GROUP_TOKENS = 600_000
 #: Distinct training texts that give the first emissions, at most.
 SEED_TEXTS = 1000
 #: Weight of the corpus-wide class shares in each state's emissions.
@@ -281,24 +282,25 @@ def expected_counts(model: Model, classes: np.ndarray, lengths: np.ndarray) -> n
     emitted = np.zeros((CLASSES, STATES))
     for group in _groups(lengths):
         steps = _forward(model, classes, starts[group], lengths[group])
-        shares, later = [], np.ones((0, STATES))
+        later, ahead = np.ones((0, STATES)), np.ones((0, STATES))
+        # Each step's forward variables are replaced by its state probabilities.
         for t in range(len(steps) - 1, -1, -1):
             seen, state, scale = steps[t]
-            after = np.ones_like(state)
-            if t + 1 < len(steps):
-                next_seen, _, next_scale = steps[t + 1]
-                ahead = model.emits[next_seen] * later / next_scale[:, None]
-                after[: len(ahead)] = ahead @ model.moves.T
+            later = np.ones_like(state)
+            if len(ahead):
+                later[: len(ahead)] = ahead @ model.moves.T
                 moved += state[: len(ahead)].T @ ahead
-            share = state * after
-            shares.append(share)
-            later = after
+            if t:
+                ahead = model.emits[seen]
+                ahead *= later
+                ahead /= scale[:, None]
+            state *= later
         if steps:
-            begun += shares[-1].sum(axis=0)
-            spots = np.concatenate([s for s, _, _ in reversed(steps)])
-            weights = np.concatenate(shares)
+            begun += steps[0][1].sum(axis=0)
+            spots = np.concatenate([s for s, _, _ in steps])
             for k in range(STATES):
-                emitted[:, k] += np.bincount(spots, weights[:, k], CLASSES)
+                weights = np.concatenate([s[:, k] for _, s, _ in steps])
+                emitted[:, k] += np.bincount(spots, weights, CLASSES)
     return np.concatenate([begun, (moved * model.moves).ravel(), emitted.ravel()])
 
 

@@ -412,6 +412,37 @@ def test_forward_equals_all_paths(monkeypatch):
         assert abs(value - math.log10(total)) < 1e-9
 
 
+@pytest.mark.parametrize("group", [1, 4, 100])
+def test_expected_counts_equal_all_paths(monkeypatch, group):
+    monkeypatch.setattr(hmm_score, "STATES", 2)
+    monkeypatch.setattr(hmm_score, "CLASSES", 5)
+    monkeypatch.setattr(hmm_score, "GROUP_TOKENS", group)
+    rng = np.random.default_rng(3)
+    emits = rng.random((5, 2))
+    model = hmm_score.Model(np.array([0.3, 0.7]), np.array([[0.6, 0.4], [0.2, 0.8]]), emits / emits.sum(axis=0))
+    texts = [[0, 1, 2], [3], [4, 4, 0, 2, 1], [3]]
+    classes = np.array([c for t in texts for c in t], np.uint16)
+    found = hmm_score.expected_counts(model, classes, np.array([len(t) for t in texts]))
+    import itertools
+
+    begun, moved, emitted = np.zeros(2), np.zeros((2, 2)), np.zeros((5, 2))
+    for text in texts:
+        chances = {}
+        for path in itertools.product(range(2), repeat=len(text)):
+            p = model.start[path[0]] * model.emits[text[0], path[0]]
+            for i in range(1, len(text)):
+                p *= model.moves[path[i - 1], path[i]] * model.emits[text[i], path[i]]
+            chances[path] = p
+        total = sum(chances.values())
+        for path, p in chances.items():
+            begun[path[0]] += p / total
+            for i, state in enumerate(path):
+                emitted[text[i], state] += p / total
+                if i:
+                    moved[path[i - 1], state] += p / total
+    assert np.allclose(found, np.concatenate([begun, moved.ravel(), emitted.ravel()]))
+
+
 # 9
 
 
