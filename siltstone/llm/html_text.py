@@ -8,6 +8,7 @@ kept, without the parts that are never article text.
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 
@@ -55,35 +56,51 @@ _UNWANTED = re.compile(
     re.I,
 )
 _WANTED = re.compile(r"article|content|entry|post|story|main|text|body", re.I)
+#: A mark that is one of these words by itself outweighs the weak unwanted ones.
+_ARTICLE = re.compile(r"(?:^|\s)(?:article|content|entry|post|story|main)(?=$|\s)", re.I)
+_WEAK = re.compile(r"(?:^|[\s_-])(?:search|header|meta|tags|related|share|social)(?=$|[\s_-])", re.I)
+#: One attribute: a value may hold quotes unless it begins with one, and a quote that
+#: is never closed ends at white space or at the tag's end. No part is read twice.
+_NAMED = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"
-    r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    rf"(?P<attrs>(?:[\s/]++|{_NAMED})*+)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(
-    r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S
+    r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+"""
 )
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "marks", "hidden", "parent", "children", "score")
+    """An element. ``block``, ``scope`` and ``container`` are the nearest such element
+    among itself and its ancestors, so that deep pages need no long walks."""
+
+    __slots__ = (
+        "name", "marks", "hidden", "parent", "children", "score",
+        "block", "scope", "container",
+    )
 
     def __init__(self, name: str, parent: "Node | None", marks: str, hidden: bool):
         self.name, self.parent, self.marks, self.hidden = name, parent, marks, hidden
         self.children: list[Node | str] = []
         self.score = 0.0
+        self.block = parent.block if parent and name in INLINE else self
+        scoped = name in SCOPES or name in SAME_CLOSES
+        self.scope = self if scoped or not parent else parent.scope
+        contained = name not in CONTAINERS and parent
+        self.container = parent.container if contained else self
 
     def dropped(self) -> bool:
         if self.name in DROPPED or self.hidden:
             return True
-        return (
-            bool(self.marks)
-            and self.name not in ("body", "html", "article", "main")
-            and _UNWANTED.search(self.marks) is not None
-        )
+        if not self.marks or self.name in ("body", "html", "article", "main"):
+            return False
+        marks = _WEAK.sub(" ", self.marks) if _ARTICLE.search(self.marks) else self.marks
+        return _UNWANTED.search(marks) is not None
 
 
 def _attributes(text: str) -> tuple[str, bool]:
@@ -107,6 +124,7 @@ def _attributes(text: str) -> tuple[str, bool]:
 def parse(page: str) -> Node:
     """A tree of elements and texts; unclosed and stray tags do no harm."""
     root = node = Node("html", None, "", False)
+    opened: Counter[str] = Counter()  # open elements by name
     at, end = 0, len(page)
     while at < end:
         found = _TOKEN.search(page, at)
@@ -120,47 +138,55 @@ def parse(page: str) -> Node:
         if not name:
             continue
         if found["close"]:
-            node = _closed(node, name)
+            if opened[name]:
+                above = _ancestor(node, name)
+                node = _left(node, above.parent, opened)
             continue
         if name == "html":
             continue
-        node = _opened(node, name)
+        node = _left(node, _opened(node, name), opened)
         marks, hidden = _attributes(found["attrs"] or "")
         child = Node(name, node, marks, hidden)
         node.children.append(child)
-        if name in VOID or (found["attrs"] or "").endswith("/"):
+        ended = (found["attrs"] or "").endswith("/")
+        if name in VOID or ended and (name not in RAW or name in ("svg", "math")):
             continue
         if name in RAW:
             # A page cut inside such an element has no text after it.
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            close = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
             continue
         node = child
+        opened[name] += 1
     return root
 
 
 def _opened(node: Node, name: str) -> Node:
     """Where an opening tag attaches, after elements that it closes."""
-    if name in CLOSES_P:
-        above = node
-        while above.parent and above.name in INLINE:
-            above = above.parent
-        if above.name == "p" and above.parent:
-            node = above.parent
+    if name in CLOSES_P and node.block.name == "p" and node.block.parent:
+        node = node.block.parent
     for other in SAME_CLOSES.get(name, ()):
-        above = node
+        above = node.scope
         while above.parent and above.name not in SCOPES and above.name != other:
-            above = above.parent
+            above = above.parent.scope
         if above.name == other and above.parent:
             node = above.parent
     return node
 
 
-def _closed(node: Node, name: str) -> Node:
-    above: Node | None = node
-    while above is not None and above.name != name:
-        above = above.parent
-    return above.parent if above is not None and above.parent else node
+def _ancestor(node: Node, name: str) -> Node:
+    """The nearest open element of that name, which there is."""
+    while node.name != name:
+        node = node.parent
+    return node
+
+
+def _left(node: Node, outer: Node, opened: Counter) -> Node:
+    """``outer``, once the elements inside it are counted as closed."""
+    while node is not outer:
+        opened[node.name] -= 1
+        node = node.parent
+    return outer
 
 
 def _blocks(node: Node) -> list[str]:
@@ -206,13 +232,14 @@ def _measure(root: Node) -> list[Node]:
         if own:
             points = 1 + own.count(",") + min(len(own) / 100, 30.0)
             points *= -0.5 if linked else 1.0
-            above, share = node, 1.0
-            while above is not None and share > 0.05:
-                if above.name in CONTAINERS:
-                    above.score += points * share
-                    scored[id(above)] = above
-                    share /= 2
-                above = above.parent
+            above, share = node.container, 1.0
+            while share > 0.05:
+                above.score += points * share
+                scored[id(above)] = above
+                share /= 2
+                if above.parent is None:
+                    break
+                above = above.parent.container
         for child in node.children:
             if isinstance(child, Node) and not child.dropped():
                 todo.append((child, linked))
@@ -241,7 +268,8 @@ def main_text(page: str) -> str:
             blocks += _blocks(best)
         elif isinstance(sibling, Node) and not sibling.dropped():
             heading = sibling.name in ("h1", "h2")
-            if heading or sibling.score >= least or _is_prose(sibling):
+            alike = bool(best.marks) and (sibling.name, sibling.marks) == (best.name, best.marks)
+            if heading or alike or sibling.score >= least or _is_prose(sibling):
                 blocks += _blocks(sibling)
     return "\n".join(blocks)
 

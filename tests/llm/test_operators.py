@@ -266,12 +266,29 @@ PROSE = "A sentence with words, commas, and more words to read in this place."
         (f"<article><p>{PROSE}</p><div class='ad'>buy</div><form><p>name</p></form></article><section class='comments'><p>{PROSE}</p></section>", PROSE),
         (f"<script>var t='</p>'</script><article><p>{PROSE}</p><script>x<", PROSE),
         (f"<header>h</header><main><p>{PROSE}</p><!-- no --><p>&lt;b&gt; &eacute;</p></main>", f"{PROSE}\n<b> é"),
+        ("<article><p data-x=it's>first, one</p><p>second don't lose</p><p>third</p></article>", "first, one\nsecond don't lose\nthird"),
+        ('<p title="a>text, more', "text, more"),
+        (f"<div><div class=post>{PROSE}</div><div class=post>Short.</div><div class=post>{PROSE}</div></div>", f"{PROSE}\nShort.\n{PROSE}"),
+        (f'<div class="search-results content"><p>{PROSE}</p></div>', PROSE),
+        (f"<script src=x/>var a=1</script ><p>{PROSE}<!--></p>", PROSE),
     ],
 )
 def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("tag", ["div", "span", "b", "p", "li", "td", "section", "x-y"])
+def test_deep_pages(tag):
+    n = 20_000
+    text = html_text.main_text(f"<{tag}>a, b " * n + "</i></li>" * n + "<p>end")
+    assert text.split().count("b") == n and text.endswith("end")
+
+
+@pytest.mark.parametrize("part", ['<p a="', "<p a='x> ", "<a ", "<!--", "<p a=b/ ", "<", "</", "<p =", "<script"])
+def test_repeated_markup_ends(part):
+    html_text.main_text(part * 50_000)
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, "u", None), (1, None, "<p>a, b</p>"), (None, "u", "x" * 9)], "page_id long, url string, html string")
     rows = {(r["page_id"], r["url"]): (r["text"], r["n_chars"]) for r in html_text.extract(pages).collect()}
