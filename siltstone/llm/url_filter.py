@@ -24,9 +24,13 @@ RULES = (
 )
 #: Labelled URLs the trees are fitted on, at most: those with the lowest hash.
 FIT_ROWS = 8_000
-#: A suffix needs so many labelled URLs for a rate of its own. The rate of a labelled
-#: URL is that of the other folds.
+#: A rate from so many labelled URLs weighs as much as the wider one it is shrunk to:
+#: that of suffix and first directory to that of the directory, and so to that of all.
+#: The rate of a labelled URL is that of the other folds.
 SUFFIX_ROWS, FOLDS = 20, 5
+#: Suffixes with this share of the pages or more count as equally common. Which common
+#: suffix a page has must not stand in for the rules that judge that suffix.
+COMMON_SHARE = 0.01
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 FEATURES = (
@@ -122,38 +126,66 @@ def features(judged: DataFrame) -> DataFrame:
 def with_suffixes(ruled: DataFrame) -> DataFrame:
     """``ruled`` with ``suffix_rate`` and ``suffix_share``, each of all its rows.
 
-    The share is that among all pages, the rate that of block among all labelled
-    ones; without labelled ones it is a half.
+    The share is that among all pages, up to ``COMMON_SHARE``. The rate is that of
+    block among the labelled pages with the suffix and first directory, shrunk to the
+    rate of the directory under any suffix and that to the rate of all: a suffix that
+    the rules only ever block says nothing about directories that they do not name.
+    Without labelled pages it is a half.
     """
     url = F.coalesce(F.col("url"), F.lit(""))
     placed = ruled.withColumns(
         {
             "suffix": F.substring_index("host", ".", -1),
+            "directory": F.regexp_extract("path", "^(/[^/]*/)", 1),
             "fold": F.pmod(F.xxhash64(url, F.lit("fold")), FOLDS).cast("int"),
         }
     )
-    each = [F.col("fold") == k for k in range(FOLDS)]
-    known, blocked = F.col("label").isNotNull(), F.col("label") == 1
-    suffixes = placed.groupBy("suffix").agg(
-        F.count("*").alias("pages"),
-        F.array(*(F.count_if(known & k) for k in each)).alias("known"),
-        F.array(*(F.count_if(blocked & k) for k in each)).alias("blocked"),
-    )
-    # Written, so that the join sees the size: few suffixes are broadcast, and the
+    # Written, so that the joins see the sizes: few groups are broadcast, and the
     # join with many can split a common one.
-    suffixes = staged(suffixes, "url_filter")
-    total = suffixes.agg(F.sum("pages")).first()[0] or 1
-
-    def others(name: str) -> Column:
-        whole = F.aggregate(name, F.lit(0).cast("long"), lambda a, x: a + x)
-        own = F.when(F.col("label").isNotNull(), F.get(F.col(name), F.col("fold")))
-        return whole - F.coalesce(own, F.lit(0))
+    shares = staged(placed.groupBy("suffix").agg(F.count("*").alias("pages")), "url_filter")
+    total = shares.agg(F.sum("pages")).first()[0] or 1
+    folds = {f"known_{k}": F.col("fold") == k for k in range(FOLDS)}
+    folds |= {f"blocked_{k}": F.col(f"known_{k}") & (F.col("label") == 1) for k in range(FOLDS)}
+    known = placed.where(F.col("label").isNotNull())
+    for name, condition in folds.items():
+        known = known.withColumn(name, condition)
+    counts = [F.count_if(F.col(n)).alias(n) for n in folds]
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in folds]
+    pairs = staged(known.groupBy("suffix", "directory").agg(*counts), "url_filter")
+    wider = staged(pairs.groupBy("directory").agg(*sums), "url_filter")
+    whole = wider.agg(*sums).first()
+
+    def packed(groups: DataFrame, name: str) -> DataFrame:
+        keys = [c for c in groups.columns if c not in folds]
+        return groups.select(*keys, F.struct(*folds).alias(name))
+
+    def others(count) -> tuple[Column, Column]:
+        """Blocked and known pages outside the fold of a labelled one."""
+        labelled = F.col("label").isNotNull()
+        return tuple(
+            sum(
+                F.when(labelled & (F.col("fold") == k), 0).otherwise(count(f"{kind}_{k}"))
+                for k in range(FOLDS)
+            )
+            for kind in ("blocked", "known")
+        )
 
-    rate = (others("blocked") + 0.5 * SUFFIX_ROWS) / (others("known") + SUFFIX_ROWS)
+    blocked, seen = others(lambda n: F.lit(whole[n]))
+    rate = (blocked + 0.5) / (seen + 1)
+    for name in ("in_directory", "in_pair"):
+        blocked, seen = others(lambda n, group=name: F.coalesce(f"{group}.{n}", F.lit(0)))
+        rate = (blocked + SUFFIX_ROWS * rate) / (seen + SUFFIX_ROWS)
     return (
-        placed.join(suffixes, "suffix")
-        .withColumns({"suffix_rate": rate, "suffix_share": F.col("pages") / total})
-        .drop("suffix", "fold", "pages", "known", "blocked")
+        placed.join(shares, "suffix")
+        .join(packed(wider, "in_directory"), "directory", "left")
+        .join(packed(pairs, "in_pair"), ["suffix", "directory"], "left")
+        .withColumns(
+            {
+                "suffix_rate": rate,
+                "suffix_share": F.least(F.col("pages") / total, F.lit(COMMON_SHARE)),
+            }
+        )
+        .drop("suffix", "directory", "fold", "pages", "in_directory", "in_pair")
     )
 
 
@@ -166,7 +198,7 @@ def fit(described: DataFrame) -> PipelineModel | None:
     order = [F.xxhash64("url"), "page_id"]
     labelled = described.where(F.col("label").isNotNull())
     sample = labelled.orderBy(*order).limit(FIT_ROWS)
-    sample = features(sample).persist()
+    sample = staged(features(sample).select("label", *FEATURES), "url_filter")
     classes = {r["label"] for r in sample.select("label").distinct().collect()}
     model = None
     if len(classes) == 2:

@@ -281,7 +281,9 @@ def test_main_text(page, text):
 def test_deep_pages(tag):
     n = 20_000
     text = html_text.main_text(f"<{tag}>a, b " * n + "</i></li>" * n + "<p>end")
-    assert text.split().count("b") == n and text.endswith("end")
+    # Nested containers compete, and the best one's text is kept; others lose nothing.
+    found = text.split().count("b")
+    assert found > 0 if tag in html_text.CONTAINERS else found == n and text.endswith("end")
 
 
 @pytest.mark.parametrize("part", ['<p a="', "<p a='x> ", "<a ", "<!--", "<p a=b/ ", "<", "</", "<p =", "<script"])
@@ -367,18 +369,31 @@ def test_url_filter_without_labels(spark):
 def test_suffix_statistics_are_of_all_rows(spark, monkeypatch):
     """Also of rows without a rule and of those the trees are not fitted on."""
     monkeypatch.setattr(url_filter, "FIT_ROWS", 10)
-    given = [("org", None)] * 40 + [("net", 1.0)] * 100 + [("com", 0.0)] * 50 + [("net", None)] * 10
-    rows = [(i, f"a://h{i}.{s}/", f"h{i}.{s}", "/", y) for i, (s, y) in enumerate(given)]
+    given = [("org", "/es/", None)] * 40 + [("net", "/es/", 1.0)] * 80 + [("com", "/es/", 0.0)] * 60 + [("net", "/de/", None)] * 19 + [("io", "/es/", None)]
+    rows = [(i, f"a://h{i}.{s}{d}", f"h{i}.{s}", d, y) for i, (s, d, y) in enumerate(given)]
     ruled = spark.createDataFrame(rows, "page_id int, url string, host string, path string, label double")
     found = {r["page_id"]: r for r in url_filter.with_suffixes(ruled).collect()}
     assert len(found) == 200
-    for i, (suffix, label) in enumerate(given):
+    whole = 80.5 / 141
+    es = (80 + 20 * whole) / 160
+    unlabelled = {("org", "/es/"): es, ("net", "/de/"): whole, ("io", "/es/"): es}
+    for i, (suffix, directory, label) in enumerate(given):
         r = found[i]
-        assert r["suffix_share"] == {"org": 0.2, "net": 0.55, "com": 0.25}[suffix]
+        assert r["suffix_share"] == (0.005 if suffix == "io" else 0.01)
         if label is None:
-            assert r["suffix_rate"] == {"org": 0.5, "net": 110 / 120}[suffix]
+            assert abs(r["suffix_rate"] - unlabelled[suffix, directory]) < 1e-12
         else:  # without the rows of its own fold
-            assert abs(r["suffix_rate"] - label) > 10 / (20 + given.count((suffix, label)))
+            own = (given.count((suffix, directory, label)) * label + 20 * es) / (20 + given.count((suffix, directory, label)))
+            assert abs(r["suffix_rate"] - label) > abs(own - label)
+
+
+def test_a_suffix_alone_does_not_block(spark, sf_dir):
+    """The rules only block ``net``; its pages unlike all blocked ones are allowed."""
+    pages = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/pages.parquet")
+    rows = [(r, r["path"].split("/")[1]) for r in url_filter.judge(pages).collect()]
+    blocked = {d for r, d in rows if r["rule"] and r["verdict"] == "block"}
+    free = [r["verdict"] for r, d in rows if r["rule"] is None and r["host"].endswith(".net") and d not in blocked]
+    assert free and free.count("block") < len(free) / 10
 
 
 # 8
