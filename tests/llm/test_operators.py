@@ -1,6 +1,7 @@
 """The operators against brute force, on small tables with odd rows."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -334,6 +335,74 @@ def test_quality_agrees_with_labels(spark, sf_dir):
     assert quality_rules.filtered(documents).columns == documents.columns
 
 
+def plain_maximisation(votes, rounds):
+    """One text at a time, without vote patterns or logarithms."""
+    prior, total = 0.8, len(votes)
+    start = {-1: (0.3, 0.02), 1: (0.6, 0.8)}
+    chances = [dict(start) for _ in votes[0]]
+    weight = max(1.0, 0.01 * total)
+    stay = (weight * (1 - prior), weight * prior)
+    for _ in range(rounds):
+        sides = [0.0, 0.0]
+        sums = [{v: [start[v][c] * stay[c] for c in (0, 1)] for v in start} for _ in votes[0]]
+        for text in votes:
+            like = [1 - prior, prior]
+            for rule, vote in enumerate(text):
+                if vote:
+                    like = [like[c] * chances[rule][vote][c] for c in (0, 1)]
+            share = [x / sum(like) for x in like]
+            for c in (0, 1):
+                sides[c] += share[c]
+                for rule, vote in enumerate(text):
+                    if vote:
+                        sums[rule][vote][c] += share[c]
+        chances = [
+            {v: tuple(min(max(rule[v][c] / (sides[c] + stay[c]), 1e-4), 1 - 1e-4) for c in (0, 1)) for v in rule}
+            for rule in sums
+        ]
+        prior = min(max((sides[1] + stay[1]) / (total + weight), 0.01), 0.99)
+    return prior, chances
+
+
+def made_votes(texts, seed):
+    """Votes of rules with known rates, and which of the texts are good."""
+    rng = random.Random(seed)
+    good = [rng.random() < 0.7 for _ in range(texts)]
+    votes = []
+    for g in good:
+        fired = [rng.random() < (0.03 if g else 0.5) for _ in quality_rules.RULES]
+        spoken = [rng.random() < (0.8 if g else 0.3) for _ in quality_rules.RULES]
+        votes.append(tuple(-1 if f else 1 if s else 0 for f, s in zip(fired, spoken, strict=True)))
+    return votes, good
+
+
+@pytest.mark.parametrize("rounds", [1, 7])
+def test_maximisation_equals_brute_force(rounds):
+    votes, _ = made_votes(150, 1)
+    patterns = Counter(votes)
+    model = quality_rules.fit(np.array(list(patterns)), np.array(list(patterns.values()), float), rounds)
+    prior, chances = plain_maximisation(votes, rounds)
+    assert abs(model.prior - prior) < 1e-9
+    for found, plain in zip(model.chances, chances, strict=True):
+        for i, vote in enumerate(quality_rules.VOTES):
+            assert np.allclose(found[:, i], plain[vote])
+
+
+def test_maximisation_finds_the_rates():
+    votes, good = made_votes(4000, 2)
+    patterns = Counter(votes)
+    model = quality_rules.fit(np.array(list(patterns)), np.array(list(patterns.values()), float))
+    assert abs(model.prior - sum(good) / len(good)) < 0.03
+    assert np.allclose(model.chances[:, 0, 0], 0.5, atol=0.06)
+    assert np.allclose(model.chances[:, 1, 0], 0.03, atol=0.02)
+
+
+def test_maximisation_without_texts():
+    rules = len(quality_rules.RULES)
+    model = quality_rules.fit(np.zeros((0, rules), int), np.zeros(0))
+    assert model.prior == 0.8 and model.chances.shape == (rules, 2, 2)
+
+
 # 7
 
 
