@@ -513,6 +513,16 @@ def test_forward_equals_all_paths(monkeypatch):
         assert abs(value - math.log10(total)) < 1e-9
 
 
+def test_scores_without_training_texts(spark):
+    ids = [i for i in range(40) if hmm_score.held_out(i)]
+    rows = [(i, t) for i, t in zip(ids, ["a b a", None, "", "c"], strict=False)]
+    found = hmm_score.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in found} == dict(zip(ids, [4, 1, 1, 2], strict=False))
+    for r in found:
+        assert r["held_out"] and (r["n_known"], r["train_tokens"], r["base_score"]) == (0, 0, 0.0)
+        assert math.isfinite(r["score"]) and r["score"] < 0
+
+
 @pytest.mark.parametrize("group", [1, 4, 100])
 def test_expected_counts_equal_all_paths(monkeypatch, group):
     monkeypatch.setattr(hmm_score, "STATES", 2)
