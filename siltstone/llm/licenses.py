@@ -4,16 +4,17 @@ A text becomes its lower-cased words. Phrases are counted by plain string search
 Hundreds of signature rules, each a regular expression over words, are gated by
 keywords: only rules whose keyword a text holds are tried on it. Detections have
 word intervals; one that lies inside another of the same or higher priority is
-suppressed.
+suppressed. Words carry their numbers while rules are tried, and intervals are swept
+in order, so a text's time grows with its words and detections.
 """
 
 import json
-import re
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.license_rules import GATE, LEVELS, RULES
+
 #: Base phrases and their labels.
 PHRASES = {
     "mit license": "mit",
@@ -21,185 +22,24 @@ PHRASES = {
     "general public license": "gpl",
 }
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A choice or an optional part of a wording.
-CHOICE = re.compile(r"\([^)]*\)\??")
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+DETECTION_TYPE = (
+    "array<struct<rule: int, label: string, priority: int, level: int, weight: double,"
+    " start: int, end: int>>"
+)
+GROUP_TYPE = (
+    "array<struct<keyword: string, rules: array<struct<rule: int, label: string,"
+    " priority: int, level: int, weight: double, needs: array<string>, numbered: string>>>>"
+)
+#: Detections that the sweep takes between two copies of what it has kept.
+SWEEP_BLOCK = 512
 
 
-def _pattern(wording: str) -> str:
-    """Over ``padded`` text; a word with ``?`` is optional, ``(a|b)`` is a choice."""
-    made, begun = " ", False
-    for word in wording.split():
-        optional = word.endswith("?")
-        word = word.removesuffix("?")
-        if begun:
-            made += f"(?:  {word})?" if optional else f"  {word}"
-        else:
-            made += f"(?:{word}  )?" if optional else word
-            begun = not optional
-    return made + " "
-
-
-def _rules() -> list[dict]:
-    """``keyword, label, priority, weight, pattern``; longer wordings come first.
-
-    Built from wordings and the versions they are used with.
-    """
-    rules: list[dict] = []
-
-    def add(keyword, label, priority, weight, *wordings):
-        rules.extend(
-            {
-                "keyword": keyword,
-                "label": label,
-                "priority": priority,
-                "weight": weight,
-                "needs": [x for x in CHOICE.sub(" ", w).split() if x.isalnum()],
-                "pattern": _pattern(w),
-            }
-            for w in wordings
-        )
-
-    names = {"": "gpl", "lesser ": "lgpl", "library ": "lgpl", "affero ": "agpl"}
-    for (kind, label), version in product(
-        names.items(), ("1 0?", "1 1", "1 2", "1 3", "2 0?", "2 1", "3 0?")
-    ):
-        exact = f"{label}-{version.removesuffix(' 0?').replace(' ', '.')}"
-        name = f"{kind}general public licen[cs]e"
-        add(
-            "public",
-            exact + "-or-later",
-            90,
-            0.98,
-            f"{name} (as published by the free software foundation either )?version {version} or at? your? option? any? later",
-            f"{name} v {version} or later",
-        )
-        add(
-            "public",
-            exact,
-            80,
-            0.95,
-            f"{name} version {version}",
-            f"{name} v {version}",
-            f"version {version} of the gnu? {name}",
-        )
-        add(label, exact, 70, 0.85, f"{label} (v|version)? {version}")
-        add("spdx", exact, 95, 1.0, f"spdx license identifier {label} {version} only?")
-    for version in ("1 0", "1 1", "2 0"):
-        dotted = version.replace(" ", ".")
-        add(
-            "apache",
-            f"apache-{dotted}",
-            80,
-            0.95,
-            f"apache (software )?license version {version}",
-            f"apache license (v|version)? {version}",
-            f"apache {version} license",
-            f"apache org licenses license {version}",
-        )
-        add("spdx", f"apache-{dotted}", 95, 1.0, f"spdx license identifier apache {version}")
-        add(
-            "mozilla",
-            f"mpl-{dotted}",
-            80,
-            0.95,
-            f"mozilla public license version {version}",
-            f"mozilla public license v? {version}",
-        )
-        add("mpl", f"mpl-{dotted}", 70, 0.85, f"mpl v? {version}")
-        add(
-            "eclipse",
-            f"epl-{dotted}",
-            80,
-            0.95,
-            f"eclipse public license version {version}",
-            f"eclipse public license v? {version}",
-        )
-        add("epl", f"epl-{dotted}", 70, 0.85, f"epl v? {version}")
-        add(
-            "common",
-            f"cddl-{dotted}",
-            80,
-            0.95,
-            f"common development and distribution license version? {version}",
-        )
-        add("artistic", f"artistic-{dotted}", 80, 0.9, f"artistic license version? {version}")
-    clauses = {"0": "zero", "1": "one", "2": "two", "3": "three", "4": "four"}
-    for digit, spelled in clauses.items():
-        add(
-            "bsd",
-            f"bsd-{digit}-clause",
-            80,
-            0.95,
-            f"bsd ({digit}|{spelled}) clause licen[cs]e?",
-            f"({digit}|{spelled}) clause bsd licen[cs]e?",
-        )
-    parts = {"": "", " sharealike": "-sa", " noderivatives": "-nd"}
-    limits = {"": "", " noncommercial": "-nc"}
-    for version, (limit, nc), (part, tail) in product(
-        ("1 0", "2 0", "2 5", "3 0", "4 0"), limits.items(), parts.items()
-    ):
-        code = f"cc-by{nc}{tail}-{version.replace(' ', '.')}"
-        add(
-            "creative",
-            code,
-            80,
-            0.95,
-            f"creative commons attribution{limit}{part} {version} international?",
-            f"creative commons attribution{limit}{part} license version? {version}",
-        )
-        add("cc", code, 70, 0.9, f"cc by{nc.replace('-', ' ')}{tail.replace('-', ' ')} {version}")
-    for version in ("1 0", "1 1", "1 2", "1 3"):
-        add(
-            "documentation",
-            f"gfdl-{version.replace(' ', '.')}",
-            85,
-            0.95,
-            f"gnu? free documentation license version {version}",
-        )
-        add("gfdl", f"gfdl-{version.replace(' ', '.')}", 70, 0.85, f"gfdl v? {version}")
-    whole = {
-        "mit": ("mit", ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "licensed under the mit licen[cs]e", "released under the mit licen[cs]e", "mit x11 licen[cs]e", "the mit licen[cs]e"]),
-        "isc": ("isc", ["isc licen[cs]e", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"]),
-        "bsd": ("bsd", ["redistribution and use in source and binary forms with or without modification are permitted", "licensed under the bsd licen[cs]e", "bsd style? licen[cs]e"]),
-        "apache": ("apache", ["licensed under the apache licen[cs]e", "apache licen[cs]e"]),
-        "gpl": ("gpl", ["gnu? general public licen[cs]e", "gnu gpl"]),
-        "lgpl": ("lgpl", ["gnu? (lesser|library) general public licen[cs]e", "gnu lgpl"]),
-        "agpl": ("agpl", ["gnu? affero general public licen[cs]e", "gnu agpl"]),
-        "mpl": ("mpl", ["mozilla public licen[cs]e"]),
-        "epl": ("epl", ["eclipse public licen[cs]e"]),
-        "zlib": ("zlib", ["zlib licen[cs]e", "zlib libpng licen[cs]e"]),
-        "boost": ("bsl-1.0", ["boost software licen[cs]e version? 1? 0?"]),
-        "unlicense": ("unlicense", ["the unlicense", "this is free and unencumbered software released into the public domain"]),
-        "wtfpl": ("wtfpl", ["do what the fuck you want to public licen[cs]e", "wtfpl"]),
-        "domain": ("public-domain", ["released into the public domain", "dedicated to the public domain", "in the public domain", "public domain dedication"]),
-        "cc0": ("cc0-1.0", ["cc0 1? 0? universal?", "creative commons zero"]),
-        "commons": ("cc", ["creative commons licen[cs]e", "licensed under a creative commons"]),
-        "rights": ("all-rights-reserved", ["all rights reserved"]),
-        "proprietary": ("proprietary", ["proprietary and confidential", "proprietary licen[cs]e"]),
-        "python": ("psf", ["python software foundation licen[cs]e version? 2?"]),
-        "ofl": ("ofl-1.1", ["sil open font licen[cs]e version? 1? 1?"]),
-        "postgresql": ("postgresql", ["postgresql licen[cs]e"]),
-        "openssl": ("openssl", ["openssl licen[cs]e"]),
-        "perl": ("artistic", ["same terms as perl itself"]),
-        "microsoft": ("ms-pl", ["microsoft public licen[cs]e", "ms pl"]),
-        "eupl": ("eupl", ["european union public licen[cs]e", "eupl v? 1? 2?"]),
-    }
-    keys = {"mit": ("mit", "permission"), "isc": ("isc", "permission"), "bsd": ("bsd", "redistribution"), "gpl": ("gpl", "public"), "lgpl": ("lgpl", "public"), "agpl": ("agpl", "public"), "mpl": ("mozilla",), "epl": ("eclipse",), "unlicense": ("unlicense", "domain"), "cc0": ("cc0", "creative"), "ofl": ("font",), "perl": ("perl",), "eupl": ("eupl", "european"), "wtfpl": ("wtfpl", "want")}
-    for name, (label, wordings) in whole.items():
-        for place, wording in enumerate(wordings):
-            for keyword in keys.get(name, (name,)):
-                if keyword in wording or keyword == name:
-                    long = len(wording.split()) > 6
-                    add(keyword, label, 60 if long else 40 - place, 0.9 if long else 0.7, wording)
-    return [r | {"rule": i} for i, r in enumerate(rules)]
-
-
-RULES = _rules()
-RULE_TYPE = (
-    "array<struct<rule: int, keyword: string, label: string, priority: int,"
-    " weight: double, needs: array<string>, pattern: string>>"
-)
+def _groups() -> str:
+    """The rules by their keyword."""
+    keywords = sorted({r["keyword"] for r in RULES})
+    of = {k: [r for r in RULES if r["keyword"] == k] for k in keywords}
+    return json.dumps([{"keyword": k, "rules": rules} for k, rules in of.items()])
 
 
 def padded(text: Column) -> Column:
@@ -215,58 +55,98 @@ def _word_count(words: Column) -> Column:
 
 
 def _detections(words: Column) -> Column:
-    """Each place of each gated rule, as ``rule, label, priority, weight, start, end``."""
-    rules = F.from_json(F.lit(json.dumps(RULES)), RULE_TYPE)
-    def places(rule: Column) -> Column:
-        # What stands between the matches tells where each of them starts.
-        between = F.transform(F.split(words, rule["pattern"]), _word_count)
-        sizes = F.transform(
-            F.regexp_extract_all(words, rule["pattern"], F.lit(0)), _word_count
-        )
+    """Each place of each gated rule, by its start, longer ones first."""
+
+    def has(word: Column) -> Column:
+        return F.contains(words, F.concat(F.lit(" "), word))
+
+    def whole(word: Column) -> Column:
+        return has(F.concat(word, F.lit(" ")))
+
+    groups = F.from_json(F.lit(_groups()), GROUP_TYPE)
+    rules = F.flatten(F.filter(groups, lambda g: has(g["keyword"]))["rules"])
+    gated = F.filter(rules, lambda r: F.forall(r["needs"], whole))
+    each = F.split(F.trim(words), "  ")
+    numbered = F.transform(each, lambda w, i: F.concat(w, F.lit(":"), i.cast("string")))
+    numbered = F.concat(F.lit(" "), F.array_join(numbered, " "), F.lit(" "))
+
+    def places(rule: Column, text: Column) -> Column:
         return F.transform(
-            sizes,
-            lambda size, i: F.struct(
+            F.regexp_extract_all(text, rule["numbered"], F.lit(0)),
+            lambda match: F.struct(
                 rule["rule"].alias("rule"),
                 rule["label"].alias("label"),
                 rule["priority"].alias("priority"),
+                rule["level"].alias("level"),
                 rule["weight"].alias("weight"),
-                (_total(between, i + 1) + _total(sizes, i)).alias("start"),
-                (_total(between, i + 1) + _total(sizes, i + 1)).alias("end"),
+                _number(F.substring_index(match, " ", 1)).alias("start"),
+                (_number(match) + 1).alias("end"),
             ),
         )
 
-    def gate(rule: Column) -> Column:
-        """Keyword first, then the words without which the pattern cannot match."""
-        spaced = lambda w: F.concat(F.lit(" "), w, F.lit(" "))
-        needed = F.forall(rule["needs"], lambda w: F.contains(words, spaced(w)))
-        return F.contains(words, spaced(rule["keyword"])) & needed
+    # A lambda's variable holds the numbered words, so they are made once a text.
+    found = F.transform(
+        F.when(F.size(gated) > 0, F.array(numbered)).otherwise(F.array()),
+        lambda text: F.flatten(F.transform(gated, lambda rule: places(rule, text))),
+    )
+    # Sorted by a leading key that orders as the sweep needs it.
+    keyed = F.transform(
+        F.flatten(found),
+        lambda d: F.struct(
+            d["start"].alias("start"), (-d["end"]).alias("to"), (-d["level"]).alias("low"),
+            d["rule"].alias("rule"), d.alias("detection"),
+        ),
+    )
+    return F.array_sort(keyed)["detection"].cast(DETECTION_TYPE)
 
-    gated = F.filter(rules, gate)
-    return F.flatten(F.transform(gated, places))
 
-
-def _total(numbers: Column, count: Column) -> Column:
-    return F.aggregate(
-        F.slice(numbers, F.lit(1), count), F.lit(0).cast("long"), lambda a, b: a + b
-    )
+def _number(match: Column) -> Column:
+    """What follows the last colon."""
+    return F.substring_index(match, ":", -1).cast("int")
 
 
 def _kept(found: Column) -> Column:
-    """Detections that no other suppresses.
+    """Detections that no other suppresses, of those in sweep order.
 
     One is suppressed inside a longer one of at least its priority, and by a rule of
-    higher priority, or a lower number, over the same words.
+    higher priority, or a lower number, over the same words. All that could suppress
+    it stand before it, so the largest end so far of each level or a higher one
+    decides.
     """
+    none = F.from_json(F.lit("[]"), DETECTION_TYPE)
 
-    def beaten(d: Column, e: Column) -> Column:
-        inside = (e["start"] <= d["start"]) & (e["end"] >= d["end"])
-        longer = e["end"] - e["start"] > d["end"] - d["start"]
-        first = (e["priority"] > d["priority"]) | (
-            (e["priority"] == d["priority"]) & (e["rule"] < d["rule"])
+    def seen(ends: Column, d: Column) -> Column:
+        return F.transform(
+            ends, lambda end, i: F.when(i <= d["level"], F.greatest(end, d["end"])).otherwise(end)
         )
-        return inside & F.when(longer, e["priority"] >= d["priority"]).otherwise(first)
 
-    return F.filter(found, lambda d: ~F.exists(found, lambda e: beaten(d, e)))
+    def step(state: Column, d: Column) -> Column:
+        free = F.get(state["ends"], d["level"]) < d["end"]
+        kept = F.when(free, F.array_append(state["kept"], d)).otherwise(state["kept"])
+        return F.struct(
+            F.when(free, seen(state["ends"], d)).otherwise(state["ends"]).cast("array<int>").alias("ends"),
+            kept.cast(DETECTION_TYPE).alias("kept"),
+        )
+
+    def block(state: Column, number: Column) -> Column:
+        part = F.slice(found, number * SWEEP_BLOCK + 1, F.lit(SWEEP_BLOCK))
+        start = F.struct(state["ends"].alias("ends"), none.alias("kept"))
+        done = F.aggregate(part, start.cast(SWEPT_TYPE), lambda s, d: step(s, d).cast(SWEPT_TYPE))
+        return F.struct(
+            done["ends"].alias("ends"), F.array_append(state["blocks"], done["kept"]).alias("blocks")
+        ).cast(BLOCKS_TYPE)
+
+    start = F.struct(
+        F.array_repeat(F.lit(-1), LEVELS).alias("ends"),
+        F.array().cast(f"array<{DETECTION_TYPE}>").alias("blocks"),
+    )
+    blocks = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / SWEEP_BLOCK).cast("int"))
+    swept = F.aggregate(blocks, start.cast(BLOCKS_TYPE), block, lambda s: F.flatten(s["blocks"]))
+    return F.when(F.size(found) > 1, swept).otherwise(found)
+
+
+SWEPT_TYPE = f"struct<ends: array<int>, kept: {DETECTION_TYPE}>"
+BLOCKS_TYPE = f"struct<ends: array<int>, blocks: array<{DETECTION_TYPE}>>"
 
 
 def scan(documents: DataFrame) -> DataFrame:
@@ -289,9 +169,7 @@ def scan(documents: DataFrame) -> DataFrame:
         firsts.append(F.when(number > 0, _word_count(head)))
         lasts.append(F.when(number > 0, _word_count(words) - tail))
         labels.append(F.when(number > 0, F.lit(label)))
-    gate = sorted({r["keyword"] for r in RULES})
-    gated = words.rlike(f" (?:{'|'.join(gate)}) ")
-    found = F.when(gated, _detections(words)).otherwise(
+    found = F.when(words.rlike(GATE), _detections(words)).otherwise(
         F.from_json(F.lit("[]"), DETECTION_TYPE)
     )
     scanned = base.select(
@@ -319,9 +197,3 @@ def scan(documents: DataFrame) -> DataFrame:
         (1.0 - doubt * sure).alias("score"),
         "detections",
     )
-
-
-DETECTION_TYPE = (
-    "array<struct<rule: int, label: string, priority: int, weight: double,"
-    " start: bigint, end: bigint>>"
-)

@@ -618,6 +618,97 @@ def test_licenses(spark, odd):
     assert found[102].split(",") == ["gpl", "gpl-3-or-later"]
 
 
+#: Texts as they are met, and the label that the rules must give them.
+LICENSE_SAMPLES = [
+    ("GPLv2", "gpl-2"),
+    ("GPL v2", "gpl-2"),
+    ("General Public License v2.0", "gpl-2"),
+    ("GNU GPL version 3", "gpl-3"),
+    ("the LGPLv2.1", "lgpl-2.1"),
+    ("GNU Affero General Public License, Version 3.0", "agpl-3"),
+    ("it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gpl-2-or-later"),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2-or-later"),
+    ("SPDX-License-Identifier: LGPL-2.1-only", "lgpl-2.1"),
+    ("// SPDX-License-Identifier: MIT", "mit"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"),
+    ("SPDX-License-Identifier: CC-BY-SA-4.0", "cc-by-sa-4.0"),
+    ("Apache License v2.0", "apache-2.0"),
+    ('Licensed under the Apache License, Version 2.0 (the "License")', "apache-2.0"),
+    ("http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"),
+    ("Mozilla Public License, v. 2.0", "mpl-2.0"),
+    ("EPL-2.0", "epl-2.0"),
+    ("MS-PL", "ms-pl"),
+    ("3-Clause BSD License", "bsd-3-clause"),
+    ("Redistributions in binary form must reproduce the above copyright notice", "bsd"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "mit"),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "cc-by-nc-sa-4.0"),
+    ("https://creativecommons.org/licenses/by-nd/3.0/", "cc-by-nd-3.0"),
+    ("Boost Software License - Version 1.0", "bsl-1.0"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("SIL Open Font License, Version 1.1", "ofl-1.1"),
+    ("GNU Free Documentation License, Version 1.3 or any later version", "gfdl-1.3-or-later"),
+]
+
+
+def test_license_samples(spark):
+    texts = [(i, f"so {t} it is") for i, (t, _) in enumerate(LICENSE_SAMPLES)]
+    clean = ["the mitigation of generals", "licensed drivers only", "a public good", "later versions of the story"]
+    texts += [(100 + i, t) for i, t in enumerate(clean)]
+    found = licenses.scan(spark.createDataFrame(texts, "doc_id long, text string"))
+    labels = {r["doc_id"]: r["labels"].split(",") for r in found.collect()}
+    for i, (text, label) in enumerate(LICENSE_SAMPLES):
+        assert label in labels[i], text
+    assert [labels[100 + i] for i in range(len(clean))] == [[""]] * len(clean)
+
+
+def test_every_license_rule_detects_its_wording(spark):
+    """Written without its optional words and choices' first spelling, a rule is hit."""
+    plain = [re.sub(r"\(\?:[^()]*(?:\([^()]*\))?[^()]*\)\?", "", r["pattern"]) for r in licenses.RULES]
+    plain = [re.sub(r"\[(.)[^]]*\]", r"\1", p).replace("v?", "v") for p in plain]
+    plain = [re.sub(r"\(([^|()]*)[^()]*\)", r"\1", p) for p in plain]
+    texts = spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string")
+    for r in licenses.scan(texts).collect():
+        rule = licenses.RULES[r["doc_id"]]
+        assert re.fullmatch(rule["pattern"], plain[rule["rule"]])
+        better = [d for d in r["detections"] if d["priority"] >= rule["priority"]]
+        assert better, rule
+
+
+def brute_detections(text):
+    words = " " + "  ".join(text.lower().split()) + " "
+    found = []
+    for r in licenses.RULES:
+        at = 0
+        while match := re.compile(r["pattern"]).search(words, at):
+            start = words[: match.start()].count(" ") // 2 if match.start() else 0
+            size = len(match.group().split())
+            found.append((start, start + size, r["priority"], r["rule"]))
+            at = match.end()
+    kept = []
+    for s, e, p, rule in found:
+        over = [o for o in found if o[0] <= s and o[1] >= e and o[3] != rule]
+        if not any(o[2] >= p if o[1] - o[0] > e - s else (o[2], -o[3]) > (p, -rule) for o in over):
+            kept.append((rule, s, e))
+    return sorted(kept)
+
+
+def test_detections_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "SWEEP_BLOCK", 3)
+    rng = random.Random(8)
+    parts = [t.lower() for t, _ in LICENSE_SAMPLES] + ["or later", "version 2", "gnu", "mit", "x"]
+    texts = [" ".join(re.findall("[a-z0-9]+", " ".join(rng.choices(parts, k=rng.randrange(1, 12))))) for _ in range(40)]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for r in rows.collect():
+        got = sorted((d["rule"], d["start"], d["end"]) for d in r["detections"])
+        assert got == brute_detections(texts[r["doc_id"]])
+
+
+def test_many_places_in_one_text(spark):
+    one = spark.createDataFrame([(1, "gnu gpl " * 20_000)], "doc_id long, text string")
+    row = licenses.scan(one).first()
+    assert len(row["detections"]) == 20_000 and row["labels"] == "gpl"
+
+
 # All
 
 
