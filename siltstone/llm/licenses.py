@@ -28,25 +28,31 @@ DETECTION_TYPE = (
     " start: int, end: int>>"
 )
 GROUP_TYPE = (
-    "array<struct<keyword: string, rules: array<struct<rule: int, label: string,"
-    " priority: int, level: int, weight: double, needs: array<string>, numbered: string>>>>"
+    "map<string, array<struct<keyword: string, rules: array<struct<rule: int, label: string,"
+    " priority: int, level: int, weight: double, needs: array<string>, numbered: string>>>>>"
 )
 #: Detections that the sweep takes between two copies of what it has kept.
 SWEEP_BLOCK = 512
 
 
 def _groups() -> str:
-    """The rules by their keyword."""
-    keywords = sorted({r["keyword"] for r in RULES})
-    of = {k: [r for r in RULES if r["keyword"] == k] for k in keywords}
-    return json.dumps([{"keyword": k, "rules": rules} for k, rules in of.items()])
+    """The rules by anchor, then by keyword."""
+    groups: dict[str, dict[str, list]] = {}
+    for rule in RULES:
+        groups.setdefault(rule["anchor"], {}).setdefault(rule["keyword"], []).append(rule)
+    return json.dumps(
+        {
+            anchor: [{"keyword": k, "rules": rules} for k, rules in by.items()]
+            for anchor, by in groups.items()
+        }
+    )
 
 
 def padded(text: Column) -> Column:
-    """The words, each with a space of its own at both ends: `` a  b  ``; empty without words."""
+    """The words, each with a space of its own at both ends: `` a  b  ``; one space without words."""
     small = F.translate(F.coalesce(text, F.lit("")), CAPITALS, SMALL)
-    words = F.trim(F.regexp_replace(small, SEPARATORS, "  "))
-    return F.when(words == "", "").otherwise(F.concat(F.lit(" "), words, F.lit("  ")))
+    spaced = F.concat(F.lit(" "), small, F.lit(" "))
+    return F.substr(F.regexp_replace(spaced, SEPARATORS, "  "), F.lit(2))
 
 
 def _word_count(words: Column) -> Column:
@@ -63,7 +69,10 @@ def _detections(words: Column) -> Column:
     def whole(word: Column) -> Column:
         return has(F.concat(word, F.lit(" ")))
 
+    # One pass finds all anchors of the text; only their groups are looked at.
+    anchors = F.array_distinct(F.regexp_extract_all(words, F.lit(GATE), F.lit(0)))
     groups = F.from_json(F.lit(_groups()), GROUP_TYPE)
+    groups = F.flatten(F.transform(anchors, lambda a: F.try_element_at(groups, F.substr(a, F.lit(2)))))
     rules = F.flatten(F.filter(groups, lambda g: has(g["keyword"]))["rules"])
     gated = F.filter(rules, lambda r: F.forall(r["needs"], whole))
     each = F.split(F.trim(words), "  ")
