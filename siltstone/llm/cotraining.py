@@ -1,13 +1,14 @@
 """Quality classifier by co-training of two views.
 
-One classifier sees the text's content, the other the page's metadata. Over some
-rounds each labels the unlabelled texts it is surest of for the other. Both are then
-calibrated on labelled rows that neither was fitted on, and every document gets the
-combined chance.
+One classifier sees the text's content, the other the page's metadata. In each round
+both look at another part of all unlabelled texts and label those they are surest of
+for the other; labels add up over the rounds. Both are then calibrated on labelled
+rows that neither was fitted on, and every document gets the combined chance.
 """
 
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,14 +17,16 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import crc_mod, staged
 
-#: Labelled rows, and unlabelled rows of the pool, that are used at most: those with
-#: the lowest hash of their id. A fifth of the labelled ones calibrate.
-FIT_ROWS, POOL_ROWS = 6_000, 6_000
+#: Labelled rows that are used at most: those with the lowest hash of their id. A fifth
+#: of them calibrate.
+FIT_ROWS = 6_000
 CALIBRATION = 5
+#: Unlabelled texts are split into as many parts by hash as there are rounds.
 ROUNDS = 2
-#: Texts of each class that a view labels for the other in a round, at most, and how
-#: sure it has to be of them.
-EXCHANGED, SURE = 300, 0.9
+#: Share of a part that a view labels in each class, and how sure it has to be at
+#: least. The chance that so many labelled rows of the class reach is the limit; where
+#: more reach it, as with equal metadata, texts are picked by hash.
+SHARE, SURE = 0.05, 0.9
 CONTENT_SIZE, METADATA_SIZE = 4096, 256
 VIEWS = ("content", "metadata")
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -78,20 +81,19 @@ def views(documents: DataFrame) -> DataFrame:
     return made.drop(*(c for c in made.columns if c.startswith("llm_")))
 
 
-def _sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Views of the labelled sample, with ``label``, and of the pool, without."""
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _usable(labels: DataFrame) -> DataFrame:
     usable = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL")
-    usable = usable.groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
-    labelled = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    order = F.xxhash64("doc_id", F.lit("pool")), F.col("doc_id")
-    # Twice as many, as some of them are labelled.
-    pool = documents.where("doc_id IS NOT NULL").select("doc_id")
-    pool = pool.orderBy(*order).limit(2 * POOL_ROWS).distinct()
-    pool = pool.join(usable, "doc_id", "left_anti").orderBy(*order).limit(POOL_ROWS)
-    chosen = labelled.unionByName(pool.withColumn("label", F.lit(None).cast("double")))
-    # At most FIT_ROWS + POOL_ROWS pairs of numbers.
-    columns = documents.select("doc_id", "text", "lang", "source", "n_chars")
-    return views(columns.join(F.broadcast(chosen), "doc_id")).drop("text")
+    return usable.groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
+
+
+def _sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Views of the labelled sample, with ``label``."""
+    chosen = _usable(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+    # At most FIT_ROWS pairs of numbers.
+    return views(documents.select(*COLUMNS).join(F.broadcast(chosen), "doc_id")).drop("text")
 
 
 def _chance(view: str) -> Column:
@@ -112,47 +114,87 @@ def _classifier(view: str, rows: DataFrame):
 
 
 def _weighted(rows: DataFrame) -> DataFrame:
-    """Both classes weigh the same."""
-    sums = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    total = sum(sums.values())
+    """Both classes weigh the same, and so do given and exchanged labels of a class.
+
+    However many texts are exchanged, they count as much as the labelled rows.
+    """
+    sums = rows.groupBy("label", "given").count().collect()
+    total = sum(r["count"] for r in sums if r["given"])
     weight = reduce(
-        lambda c, item: c.when(F.col("label") == item[0], total / (2.0 * item[1])),
-        sums.items(),
+        lambda c, r: c.when(
+            (F.col("label") == r["label"]) & (F.col("given") == r["given"]),
+            total / (2.0 * r["count"]),
+        ),
+        sums,
         F,
     )
     return rows.withColumn("weight", weight.otherwise(1.0))
 
 
-def _surest(pool: DataFrame, view: str, model) -> DataFrame:
-    """``doc_id, label`` of the texts that a view is surest of."""
-    scored = model.transform(pool).select("doc_id", _chance(view).alias("chance"))
-    good = scored.where(F.col("chance") >= SURE).orderBy(F.desc("chance"), "doc_id")
-    bad = scored.where(F.col("chance") <= 1 - SURE).orderBy("chance", "doc_id")
-    picked = [good.limit(EXCHANGED).withColumn("label", F.lit(1.0))]
-    picked.append(bad.limit(EXCHANGED).withColumn("label", F.lit(0.0)))
-    return picked[0].union(picked[1]).select("doc_id", "label")
+def _limits(fitted: DataFrame, view: str, model) -> dict[float, tuple[float, float]]:
+    """For each class how sure to be, and which share of such texts to take."""
+    # At most FIT_ROWS pairs of numbers.
+    rows = model.transform(fitted).select(_chance(view).alias("chance"), "label").toPandas()
+    limits = {}
+    for label in (0.0, 1.0):
+        chance = rows.chance[rows.label == label].to_numpy()
+        sure = chance if label else 1 - chance
+        limit = max(SURE, float(np.quantile(sure, 1 - SHARE)))
+        beyond = float((sure >= limit).mean())
+        limits[label] = limit, min(1.0, SHARE / beyond) if beyond else 1.0
+    return limits
+
+
+def _exchange(documents: DataFrame, usable: DataFrame, models, limits, part: int) -> DataFrame:
+    """Both views of each distinct text of a part that some view is sure of.
+
+    ``by_content`` and ``by_metadata`` are the labels, null if the view is not sure.
+    Texts of labelled documents are left out, and empty ones.
+    """
+    key = F.xxhash64("text")
+    rows = documents.select(*COLUMNS).where("doc_id IS NOT NULL AND trim(text) <> ''")
+    found = views(rows.where(F.pmod(key, F.lit(ROUNDS)) == part)).withColumn("key", key)
+    for view in VIEWS:
+        found = models[view].transform(found)
+        chance = _chance(view)
+        draw = F.pmod(F.xxhash64("key", F.lit(view)), F.lit(2**20)) / 2**20
+        label = F
+        for value, (limit, share) in limits[view].items():
+            sure = chance if value else 1 - chance
+            label = label.when((sure >= limit) & (draw < share), value)
+        found = found.withColumn(f"by_{view}", label)
+    labels = [f"by_{v}" for v in VIEWS]
+    found = found.where(F.coalesce(*labels).isNotNull())
+    found = staged(found.select("doc_id", "key", *VIEWS, *labels), "cotraining")
+    new = found.join(usable, "doc_id", "left_anti")
+    # Copies of a text may differ in metadata; the one with the least id is taken.
+    each = new.groupBy("key").agg(
+        F.min_by(F.struct("doc_id", *VIEWS, *labels), "doc_id").alias("row")
+    )
+    return staged(each.select("row.*"), "cotraining")
 
 
 def fit(documents: DataFrame, labels: DataFrame):
     """Models of both views with their calibrations; None if a class has no rows."""
-    sample = staged(_sample(documents, labels).repartition(2), "cotraining")
+    given = _sample(documents, labels).withColumn("given", F.lit(True))
+    sample = staged(given.repartition(2), "cotraining")
     held = crc_mod("doc_id", CALIBRATION) == 0
-    fitted = sample.where(F.col("label").isNotNull() & ~held)
+    fitted = sample.where(~held)
     if fitted.select("label").distinct().count() < 2:
         return None
-    pool = sample.where(F.col("label").isNull())
-    taught = dict.fromkeys(VIEWS, fitted)
-    for number in range(ROUNDS + 1):
+    taught = dict.fromkeys(VIEWS, fitted.select("doc_id", "label", "given", *VIEWS))
+    usable = _usable(labels)
+    for part in range(ROUNDS + 1):
         models = {v: _classifier(v, taught[v]) for v in VIEWS}
-        if number == ROUNDS:
+        if part == ROUNDS:
             break
+        limits = {v: _limits(fitted, v, models[v]) for v in VIEWS}
+        new = _exchange(documents, usable, models, limits, part)
         for view, other in (VIEWS, VIEWS[::-1]):
-            picked = _surest(pool, view, models[view])
-            # At most 2 * EXCHANGED rows a round; labels of the last round replace
-            # the earlier ones.
-            new = pool.drop("label").join(F.broadcast(picked), "doc_id")
-            taught[other] = fitted.unionByName(staged(new, "cotraining"))
-    checked = sample.where(F.col("label").isNotNull() & held)
+            label = F.col(f"by_{view}").alias("label")
+            labelled = new.select("doc_id", label, F.lit(False).alias("given"), *VIEWS)
+            taught[other] = taught[other].union(labelled.where("label IS NOT NULL"))
+    checked = sample.where(held)
     if checked.select("label").distinct().count() < 2:
         checked = fitted
     curves = {v: _calibration(v, models[v].transform(checked)) for v in VIEWS}
@@ -165,7 +207,7 @@ def _margin(view: str) -> Column:
 
 def _calibration(view: str, scored: DataFrame) -> tuple[float, float]:
     """Slope and constant of the chance's logit over a view's margin."""
-    rows = scored.select(_margin(view).alias("margin"), "label")
+    rows = scored.select(_margin(view).alias("margin"), "label", "given")
     rows = VectorAssembler(inputCols=["margin"], outputCol="x").transform(rows)
     curve = LogisticRegression(
         featuresCol="x", labelCol="label", weightCol="weight", maxIter=15, regParam=0.02
@@ -186,7 +228,7 @@ def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
         half = [F.lit(0.5).alias(c) for c in ("content_score", "metadata_score", "score")]
         return documents.select("doc_id", *half, F.lit(1).alias("predicted"))
     models, curves = learned
-    scored = views(documents.select("doc_id", "text", "lang", "source", "n_chars"))
+    scored = views(documents.select(*COLUMNS))
     logits = {}
     for view in VIEWS:
         scored = models[view].transform(scored)

@@ -122,6 +122,45 @@ def test_cotraining(spark, sf_dir, odd):
     assert {r["score"] for r in none} == {0.5}
 
 
+def test_exchange_covers_all_unlabelled_texts(spark, sf_dir):
+    """Over the rounds every distinct unlabelled text can be handed over, once."""
+    data = sf_dir.replace("sf0.001", "sf0.01")
+    documents = spark.read.parquet(f"{data}/documents.parquet")
+    usable = cotraining._usable(spark.read.parquet(f"{data}/labels.parquet"))
+    sample = cotraining._sample(documents, spark.read.parquet(f"{data}/labels.parquet"))
+    sample = sample.withColumn("given", cotraining.F.lit(True)).cache()
+    models = {v: cotraining._classifier(v, sample) for v in cotraining.VIEWS}
+    every = {v: {1.0: (0.0, 1.0), 0.0: (0.0, 1.0)} for v in cotraining.VIEWS}
+    parts = [
+        cotraining._exchange(documents, usable, models, every, part).collect()
+        for part in range(cotraining.ROUNDS)
+    ]
+    ids = [r["doc_id"] for part in parts for r in part]
+    known = {r["doc_id"] for r in usable.collect()}
+    texts = defaultdict(list)
+    for r in documents.select("doc_id", "text").collect():
+        if (r["text"] or "").strip(" ") and r["doc_id"] is not None and r["doc_id"] not in known:
+            texts[r["text"]].append(r["doc_id"])
+    assert sorted(ids) == sorted(min(of) for of in texts.values())
+    assert all(parts)
+
+
+def test_limits_take_the_share(spark, sf_dir):
+    data = sf_dir.replace("sf0.001", "sf0.01")
+    sample = cotraining._sample(*(spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels")))
+    sample = sample.withColumn("given", cotraining.F.lit(True)).cache()
+    for view in cotraining.VIEWS:
+        model = cotraining._classifier(view, sample)
+        for label, (limit, share) in cotraining._limits(sample, view, model).items():
+            assert limit >= cotraining.SURE and 0 < share <= 1, label
+
+
+def test_cotraining_of_odd_rows_with_labels(spark, odd):
+    labels = spark.createDataFrame([(i, int(i > 6), None) for i in range(13)], LABELS)
+    rows = cotraining.score(odd, labels).collect()
+    assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 for r in rows)
+
+
 # 3
 
 
