@@ -164,8 +164,11 @@ def _exchange(documents: DataFrame, usable: DataFrame, models, limits, part: int
             label = label.when((sure >= limit) & (draw < share), value)
         found = found.withColumn(f"by_{view}", label)
     labels = [f"by_{v}" for v in VIEWS]
-    found = found.where(F.coalesce(*labels).isNotNull())
-    found = staged(found.select("doc_id", "key", *VIEWS, *labels), "cotraining")
+    # Rows go by way of an array, as a condition moved below the models would run them
+    # once for each place that it names their results.
+    row = F.array(F.struct("doc_id", "key", *VIEWS, *labels))
+    sure = F.filter(row, lambda r: F.coalesce(*(r[c] for c in labels)).isNotNull())
+    found = staged(found.select(F.inline(sure)), "cotraining")
     new = found.join(usable, "doc_id", "left_anti")
     # Copies of a text may differ in metadata; the one with the least id is taken.
     each = new.groupBy("key").agg(
