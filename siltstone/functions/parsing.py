@@ -19,25 +19,31 @@ def parse_local_time(text: Column) -> Column:
     """Wall-clock text without a zone; runs of white space count as one space.
 
     Made from its numbers, so a time that the session's zone skips stays what it is.
+    The numbers have fixed places in what the pattern finds, so it is sought once.
     """
     one_spaced = F.regexp_replace(F.trim(text), r"\s+", " ")
+    found = F.regexp_extract(one_spaced, V.LOCAL_TIME_PATTERN, 0)
 
-    def number(group: int) -> Column:
-        found = F.regexp_extract(one_spaced, V.LOCAL_TIME_PATTERN, group)
-        return F.nullif(found, F.lit("")).cast("int")
+    def number(start: int, length: int) -> Column:
+        return F.substring(found, start, length).try_cast("int")
 
-    month, day, year, hour, minute = (number(group) for group in range(1, 6))
+    month, day, year = number(1, 2), number(4, 2), number(7, 4)
+    hour, minute = number(12, 2), number(15, 2)
     return F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
 
 
 def parse_whole_number(text: Column, to: str = "integer") -> Column:
     """Integer text; a decimal fraction is cut off, other text NULL.
 
-    "7.0" is 7, and a fraction without digits before it, ".5" or ".", is 0.
+    "7.0" is 7, and a fraction without digits before it, ".5" or ".", is 0. Patterns
+    are only sought in text that is not a whole number as it stands.
     """
     whole = F.regexp_replace(text, r"^(\s*[+-]?\d+)\.\d*\s*$", "$1")
-    bare = whole.rlike(r"^\s*[+-]?\.\d*\s*$")
-    return F.when(bare, F.lit(0).cast(to)).otherwise(whole.try_cast(to))
+    bare = text.rlike(r"^\s*[+-]?\.\d*\s*$")
+    return F.coalesce(
+        text.try_cast(to),
+        F.when(bare, F.lit(0).cast(to)).otherwise(whole.try_cast(to)),
+    )
 
 
 def iso_millis(instant: Column) -> Column:

@@ -55,6 +55,12 @@ def test_local_times_do_not_depend_on_the_session_zone(spark):
     assert found == [datetime(2026, 3, 8, 2, 30)]
 
 
+def test_local_times_end_where_the_pattern_ends(spark):
+    df = texts(spark, "08/01/2026 05:07\u2028", "08/01/2026 05:07\n", "008/01/2026 05:07")
+    found = apply(df, parsing.parse_local_time(F.col("t")))
+    assert found == [datetime(2026, 8, 1, 5, 7), None, None]
+
+
 def test_whole_numbers(spark):
     df = texts(spark, "7", " 7 ", "7.0", "-3.9", "x", "", "1e1", "99999999999", None)
     assert apply(df, parsing.parse_whole_number(F.col("t"))) == [

@@ -1,5 +1,6 @@
 """Plans that hold on big data, and results with a hot key."""
 
+import re
 from datetime import date
 
 from compare import plan, rows
@@ -9,6 +10,7 @@ from siltstone import schemas
 from siltstone import values as V
 from siltstone.operators import control, merge, profile, reconcile, staging
 from siltstone.operators.skew import heavy_keys, is_heavy, lookup
+from siltstone.registry import inputs as given
 from siltstone.registry.queries import QUERIES
 from siltstone.sources import changes, landing
 from siltstone.sources.tables import VersionedTable, partition_stats, with_year_range
@@ -23,6 +25,13 @@ def test_dedupe_limits_before_the_shuffle(spark, sf_dir):
     assert "row_number(), 1, Partial" in after
 
 
+def test_typed_layer_stays_compiled(spark, sf_dir, capsys):
+    """Methods over 8000 bytes of code are interpreted row by row."""
+    given.clean_incidents(spark, sf_dir).explain("codegen")
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)
+    assert sizes and max(map(int, sizes)) < 8000
+
+
 def test_reconciliation_shuffles_once(spark, sf_dir):
     text = plan(QUERIES["reconcile_summary"](spark, sf_dir))
     assert text.count("Exchange hashpartitioning") == 1
