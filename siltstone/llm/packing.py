@@ -26,7 +26,10 @@ END = "<|endoftext|>"
 
 #: Pieces of a block, about; hashing deals them evenly.
 BLOCK_PIECES = 4000
-ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2, 2, 3, 3
+ISLANDS, EPOCHS, POPULATION = 2, 2, 12
+#: An island evolves until its block has as few bins as its pieces allow, or until
+#: this many generations have passed without one bin less.
+PATIENCE = 20
 #: A bin is passed on whole by crossover, and kept at the end, from this fill on.
 FULL = 0.98
 
@@ -168,7 +171,10 @@ def _crossed(a, b, lengths, room, rng):
 
 
 def _evolve(lengths: list[int], elites: list, room: int, seed: int) -> list:
-    """The best bins after some generations, from the elites and fresh packings."""
+    """The best bins found, from the elites and fresh packings.
+
+    Evolution goes on as long as it saves bins, so it ends.
+    """
     rng = np.random.default_rng(seed)
     least = -(-sum(lengths) // room)
     population = [[list(m) for m in e] for e in elites]
@@ -182,18 +188,20 @@ def _evolve(lengths: list[int], elites: list, room: int, seed: int) -> list:
             start = [[i] for i in order[:cut]]
             merged = _best_fit(order[cut:], lengths, start, room)
             population.append(merged)
-    for _ in range(GENERATIONS):
-        population.sort(key=lambda p: _fitness(p, lengths, room), reverse=True)
-        if len(population[0]) <= least:
-            break
+
+    def ranked(packings: list) -> list:
+        return sorted(
+            packings, key=lambda p: _fitness(p, lengths, room), reverse=True
+        )[:POPULATION]
+
+    population, waited = ranked(population), 0
+    while len(population[0]) > least and waited < PATIENCE:
+        fewest = len(population[0])
         a, b = population[0], population[1 + int(rng.integers(len(population) - 1))]
         children = [_crossed(a, b, lengths, room, rng), _crossed(b, a, lengths, room, rng)]
-        population = sorted(
-            population + children,
-            key=lambda p: _fitness(p, lengths, room),
-            reverse=True,
-        )[:POPULATION]
-    return max(population, key=lambda p: _fitness(p, lengths, room))
+        population = ranked(population + children)
+        waited = 0 if len(population[0]) < fewest else waited + 1
+    return population[0]
 
 
 def _epoch(islands: DataFrame, room: int, epoch: int) -> DataFrame:
@@ -252,9 +260,12 @@ def _pack_blocks(loose: DataFrame, blocks: int, room: int, level: int) -> DataFr
         F.col("items.row").alias("rows"),
         F.array().cast("array<binary>").alias("elites"),
         F.lit(0).alias("bins"),
-    ).repartition(min(2 * blocks, 2000), "block", "island")
+    )
+    # Islands are few bytes and long work, so they are spread by number.
+    spread = min(ISLANDS * blocks, 2000)
     for epoch in range(EPOCHS):
-        islands = _epoch(_migrated(islands) if epoch else islands, room, epoch)
+        begun = _migrated(islands) if epoch else islands
+        islands = _epoch(begun.repartition(spread, "block", "island"), room, epoch)
     best = staged(islands, "packing")
 
     # Of each block, the island with fewest bins.

@@ -216,6 +216,22 @@ def test_evolution_beats_its_start():
     assert all(sum(lengths[i] for i in b) <= 2048 for b in best)
 
 
+def test_evolution_goes_on_while_it_saves_bins():
+    """Threes that fill a bin exactly, where best fit is far from the optimum."""
+    rng = np.random.default_rng(1)
+    lengths = []
+    for _ in range(100):
+        long = int(rng.integers(780, 1000))
+        middle = int(rng.integers(520, 1648 - long))
+        lengths += [long, middle, 2048 - long - middle]
+    start = packing._best_fit(list(range(300)), lengths, [], 2048)
+    best = packing._evolve(lengths, [], 2048, 5)
+    assert len(start) == 109
+    assert len(best) <= 104
+    assert sorted(i for b in best for i in b) == list(range(300))
+    assert all(sum(lengths[i] for i in b) <= 2048 for b in best)
+
+
 def test_blocks_keep_their_bound(spark, monkeypatch):
     """Pieces that never fill a bin go on from level to level, not into one block."""
     rng = np.random.default_rng(3)
