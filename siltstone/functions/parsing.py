@@ -19,31 +19,32 @@ def parse_local_time(text: Column) -> Column:
     """Wall-clock text without a zone; runs of white space count as one space.
 
     Made from its numbers, so a time that the session's zone skips stays what it is.
-    The numbers have fixed places in what the pattern finds, so it is sought once.
+    The numbers have fixed places from either end of what the pattern finds, so it is
+    sought once. Other text is told by the pattern: a failed cast costs Spark
+    an exception.
     """
-    one_spaced = F.regexp_replace(F.trim(text), r"\s+", " ")
-    found = F.regexp_extract(one_spaced, V.LOCAL_TIME_PATTERN, 0)
+    found = F.regexp_extract(F.trim(text), V.LOCAL_TIME_PATTERN, 0)
 
     def number(start: int, length: int) -> Column:
         return F.substring(found, start, length).try_cast("int")
 
     month, day, year = number(1, 2), number(4, 2), number(7, 4)
-    hour, minute = number(12, 2), number(15, 2)
-    return F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
+    hour, minute = number(-5, 2), number(-2, 2)
+    made = F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
+    return F.when(found != "", made)
 
 
 def parse_whole_number(text: Column, to: str = "integer") -> Column:
     """Integer text; a decimal fraction is cut off, other text NULL.
 
     "7.0" is 7, and a fraction without digits before it, ".5" or ".", is 0. Patterns
-    are only sought in text that is not a whole number as it stands.
+    are only sought in text with a point, which is no whole number as it stands; it is
+    not cast either, as a failed cast is dear.
     """
     whole = F.regexp_replace(text, r"^(\s*[+-]?\d+)\.\d*\s*$", "$1")
     bare = text.rlike(r"^\s*[+-]?\.\d*\s*$")
-    return F.coalesce(
-        text.try_cast(to),
-        F.when(bare, F.lit(0).cast(to)).otherwise(whole.try_cast(to)),
-    )
+    cut = F.when(bare, F.lit(0).cast(to)).otherwise(whole.try_cast(to))
+    return F.when(text.contains("."), cut).otherwise(text.try_cast(to))
 
 
 def iso_millis(instant: Column) -> Column:

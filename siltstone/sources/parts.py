@@ -145,18 +145,19 @@ class PartTable:
         named = [df.select(self.label().alias("part")) for df in rows]
         return [r["part"] for r in reduce(DataFrame.unionAll, named).distinct().collect()]
 
-    def write(self, df: DataFrame) -> str:
+    def write(self, df: DataFrame, folder: str | None = None, spread: bool = True) -> str:
         """Write rows as one folder a part that no reader sees before ``commit``.
 
         The rebalance hint splits a part that outgrows a task and joins small ones.
+        Rows that come straight from files of this table need no ``spread``: a file
+        holds one part, so a task writes no more files than it reads. ``folder`` adds
+        to what was written before.
         """
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        (
-            df.withColumn(PART, self.label())
-            .hint("rebalance", PART)
-            .write.partitionBy(PART)
-            .parquet(folder)
-        )
+        folder = folder or f"{self.path}/data/{uuid.uuid4().hex}"
+        rows = df.withColumn(PART, self.label())
+        if spread:
+            rows = rows.hint("rebalance", PART)
+        rows.write.mode("append").partitionBy(PART).parquet(folder)
         return folder
 
     def written(self, folder: str, layout: T.StructType) -> DataFrame:

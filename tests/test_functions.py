@@ -1,7 +1,8 @@
+import re
 from datetime import date, datetime
 
 import pytest
-from compare import rows
+from compare import plan, rows
 from pyspark.sql import functions as F
 
 from siltstone.functions import measures, parsing, predicates
@@ -61,6 +62,15 @@ def test_local_times_end_where_the_pattern_ends(spark):
     assert found == [datetime(2026, 8, 1, 5, 7), None, None]
 
 
+def test_text_that_is_no_number_is_not_cast(spark):
+    """A failed cast is an exception to Spark, caught row by row."""
+    df = texts(spark, "1.0", "x")
+    whole = plan(df.select(parsing.parse_whole_number(F.col("t"))))
+    assert "CASE WHEN Contains(t" in whole
+    local = plan(df.select(parsing.parse_local_time(F.col("t"))))
+    assert re.search(r"CASE WHEN NOT \(regexp_extract\(.*\) = \)", local)
+
+
 def test_whole_numbers(spark):
     df = texts(spark, "7", " 7 ", "7.0", "-3.9", "x", "", "1e1", "99999999999", None)
     assert apply(df, parsing.parse_whole_number(F.col("t"))) == [

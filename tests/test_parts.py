@@ -11,7 +11,7 @@ from siltstone.operators import deltas, marts, merge
 from siltstone.operators.deltas import Changes
 from siltstone.operators.quality import QualityError
 from siltstone.operators.standardize import enrich, incident_fact, standardize
-from siltstone.plans import layers, runs
+from siltstone.plans import layers, runs, touched
 from siltstone.plans.lake import Lake
 from siltstone.plans.touched import merge_touched, replaced_keys
 from siltstone.registry import inputs as given
@@ -83,6 +83,43 @@ def test_merge_into_empty_table(spark, tmp_path):
     assert spark.sql(table.view_sql()).collect() == []
 
 
+def test_large_parts_keep_their_rows_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Only new rows are shuffled; a batch that replaces row by row is not joined again."""
+    target = [(f"k{i}", time(1), "1", i) for i in range(60)]
+    updates = [(f"k{i}", time(2), "1", -i) for i in range(50, 70)]
+    new = spark.createDataFrame(updates, TARGET)
+    expected = rows(merge.upsert(spark.createDataFrame(target, TARGET), new))
+    table = keyed(spark, tmp_path / "t", target)
+    written = []
+
+    def write(self, df, folder=None, spread=True):
+        written.append((df.count(), spread, "hashpartitioning" in plan(df)))
+        return store(self, df, folder, spread)
+
+    store = PartTable.write
+    monkeypatch.setattr(PartTable, "write", write)
+    monkeypatch.setattr(merge, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(merge, "upsert", None)
+    found = merge_touched(table, new)
+    assert written == [(20, True, False), (50, False, False)]
+    assert rows(table.read()) == expected
+    assert rows(found.changes.new) == rows(new)
+    assert rows(found.changes.old) == sorted(target[50:], key=repr)
+
+
+@pytest.mark.parametrize("bound", [0, 4])
+def test_keys_past_the_bound_go_a_few_parts_at_once(spark, tmp_path, monkeypatch, bound):
+    target = [(f"k{i % 25}", time(1 + i % 3) if i % 7 else None, "1", i) for i in range(40)]
+    target += [(None, time(1), "1", 100)]
+    updates = [(f"k{i}", time(2), "12"[i % 2] if i % 5 else None, -i) for i in range(40)]
+    new = spark.createDataFrame(updates, TARGET)
+    expected = rows(merge.upsert(spark.createDataFrame(target, TARGET), new))
+    table = keyed(spark, tmp_path / "t", target, 5)
+    monkeypatch.setattr(touched, "BROADCAST_KEYS", bound)
+    merge_touched(table, new)
+    assert rows(table.read()) == expected
+
+
 def test_other_buckets_are_not_opened(spark, tmp_path):
     table = keyed(spark, tmp_path / "t", [(f"k{i}", time(1), "1", i) for i in range(60)])
     wanted = table.labels(spark.createDataFrame([("k3", time(1), "1", 3)], TARGET))
