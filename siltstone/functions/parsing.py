@@ -20,18 +20,17 @@ def parse_local_time(text: Column) -> Column:
 
     Made from its numbers, so a time that the session's zone skips stays what it is.
     The numbers have fixed places from either end of what the pattern finds, so it is
-    sought once. Other text is told by the pattern: a failed cast costs Spark
-    an exception.
+    sought once. Other text is NULL before the casts: a failed one costs
+    Spark an exception.
     """
-    found = F.regexp_extract(F.trim(text), V.LOCAL_TIME_PATTERN, 0)
+    found = F.regexp_substr(F.trim(text), F.lit(V.LOCAL_TIME_PATTERN))
 
     def number(start: int, length: int) -> Column:
         return F.substring(found, start, length).try_cast("int")
 
     month, day, year = number(1, 2), number(4, 2), number(7, 4)
     hour, minute = number(-5, 2), number(-2, 2)
-    made = F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
-    return F.when(found != "", made)
+    return F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
 
 
 def parse_whole_number(text: Column, to: str = "integer") -> Column:
