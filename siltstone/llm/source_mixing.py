@@ -119,7 +119,8 @@ def targets(sources: DataFrame) -> DataFrame:
     total, weights = sums[0] or 0, sums[1] or 1
     words, capped = total, 0
     while True:
-        share = F.lit(words) * F.col("weight") / F.lit(weights)
+        # Below 2^31 a literal is an int, and its product with a weight may not fit one.
+        share = F.lit(words).cast("long") * F.col("weight") / F.lit(weights)
         above = cap < share
         found = weighed.agg(
             F.count_if(above),

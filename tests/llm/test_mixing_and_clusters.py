@@ -104,6 +104,18 @@ def test_better_documents_are_likelier(spark):
     assert good > 1.5 * poor > 0
 
 
+@pytest.mark.parametrize("total", [2**31 // 3 + 1, 2**31 - 1, 2**31 + 5, 10**12])
+def test_targets_of_many_words(spark, total):
+    """Words that fit an int while their product with a weight does not, and more."""
+    small = total // 1000
+    sizes = {"a": total // 2, "b": total // 3, "c": small}
+    sizes["d"] = total - sum(sizes.values())
+    given = spark.createDataFrame([*sizes.items()], "source string, source_size long")
+    found = {r["source"]: r["target"] for r in source_mixing.targets(given).collect()}
+    rest = total - 3 * small
+    assert found == {"a": rest / 4, "b": rest * 2 / 4, "c": 3.0 * small, "d": rest / 4}
+
+
 def test_mix_plan_is_native(spark):
     result = mixed(spark, uneven_documents()[:200])
     assert "Python" not in plan(result)
